@@ -91,7 +91,7 @@ TITLE_ALIASES = {
     "Electrician": "sparky",
     "Customer Service Representative": "csr, cust service rep, customer svc rep, customer service rep",
     "Human Resources Manager": "hr manager, hr mgr, human res manager",
-    "Recruitment Consultant": "recruiter, recruitment cons",
+    "Recruitment Consultant": "recruiter, recruitment cons, recruiting consultant",
     "Operations Manager": "ops manager, ops mgr",
     "Executive Assistant": "exec assistant, exec asst, ea to director",
     "Teacher": "tchr, school teacher",

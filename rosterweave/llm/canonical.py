@@ -42,8 +42,8 @@ _REMARKS = {kind: frozenset(words.split()) for kind, words in REMARK_WORDS.items
 
 def segments_of(text: str, kind: str) -> list[list[str]]:
     """Tokens of the whole value first, then of its parts between commas, slashes and brackets."""
-    parts = [p for p in re.split(r"[,/()\[\]|;:]|\s[-–]\s", text) if p.strip()]
-    out = [tokens_of(text, kind)] + ([tokens_of(p, kind) for p in parts] if len(parts) > 1 else [])
+    parts = [p for p in re.split(r"[,/()\[\]|;:]|\s[-–]\s", text) if len(p.strip()) > 1]
+    out = [tokens_of(text, kind)] + ([tokens_of(p, kind) for p in parts] if parts and parts != [text] else [])
     return [s for i, s in enumerate(out) if s and s not in out[:i]]
 
 
@@ -85,7 +85,7 @@ def vocabulary(entries: list[tuple[int, str, str]], aliases: dict = ALIASES, oth
     total = {kind: len({e for k, e, _, _ in phrases if k == kind}) for kind, _, _, _ in phrases}
     out = []
     for no, (kind, entry_id, tokens, label) in enumerate(phrases):
-        weight = {t: math.log(1 + total[kind] / len(seen[kind, t])) for t in tokens}
+        weight = {t: math.log(1 + total[kind] / len(seen[kind, t])) * (0.4 if len(t) == 1 else 1.0) for t in tokens}
         norm2 = sum(w * w for w in weight.values())
         out += [(kind, no, entry_id, t, w, norm2, label) for t, w in weight.items()]
     return out
@@ -136,7 +136,8 @@ def map_values(values: DataFrame, entries: DataFrame, threshold: float = 0.62, u
     """``(kind, value, entry_id, score)`` for every distinct ``(kind, value)``.
 
     ``entry_id`` is 0 where no entry of the kind is meant, so blank and stand-in texts give
-    0; null values give no row. Ties go to the whole value before its parts, then to the
+    0; null values give no row. A typing error is rather one in a label than in another name
+    of an entry, so repaired other names rank a little lower. Ties go to the whole value before its parts, then to the
     least entry_id. ``entries`` is the canonical list ``(entry_id, kind, label)``; it is read
     on the driver, as a list people keep by hand, and its vocabulary is broadcast only at a
     measured size. Empty tables give an empty result; other columns are not read.
@@ -151,15 +152,15 @@ def map_values(values: DataFrame, entries: DataFrame, threshold: float = 0.62, u
 
     met = lookup_join(units, near.groupBy("kind", "unit").agg(F.collect_list(F.struct("token", "sim")).alias("near")), ["kind", "unit"], "value", "inner")
     met = met.select("kind", "value", "segment", "n", "at", "span", F.explode("near").alias("m")).select("*", "m.token", "m.sim")
-    hits = met.join(bounded_broadcast(vocab.drop("label")), ["kind", "token"])
-    seg = ["kind", "value", "segment", "n", "phrase", "entry_id", "norm2"]
+    hits = met.join(bounded_broadcast(vocab), ["kind", "token"])
+    seg = ["kind", "value", "segment", "n", "phrase", "entry_id", "norm2", "label"]
     best = hits.groupBy(*seg, "token", "weight").agg(F.max(F.struct("sim", "span", (-F.col("at")).alias("at"))).alias("b"))
     score = best.groupBy(*seg).agg(
         F.sum(F.col("weight") ** 2 * F.col("b.sim")).alias("dot"),
         F.sum(F.col("weight") ** 2).alias("own2"),
         F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence(-F.col("b.at"), -F.col("b.at") + F.col("b.span") - 1))))).alias("covered"),
     )
-    score = score.withColumn("score", F.col("dot") / F.sqrt((F.col("own2") + F.greatest(F.col("n") - F.col("covered"), F.lit(0)) * unknown_weight**2) * F.col("norm2")) - F.when(F.col("segment") > 0, 0.05).otherwise(0.0))
+    score = score.withColumn("score", F.col("dot") / F.sqrt((F.col("own2") + F.greatest(F.col("n") - F.col("covered"), F.lit(0)) * unknown_weight**2) * F.col("norm2")) - F.when(F.col("segment") > 0, 0.05).otherwise(0.0) - F.when(~F.col("label") & (F.col("dot") < F.col("own2") - 1e-9), 0.03).otherwise(0.0))
     top = score.groupBy("kind", "value").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("segment")).alias("s"), (-F.col("entry_id")).alias("e"))).alias("t"))
     ranked = top.select("kind", "value", F.col("t.score").alias("score"), F.when(F.col("t.score") >= threshold, -F.col("t.e")).otherwise(0).alias("entry_id"))
     return values.join(ranked, ["kind", "value"], "left").select("kind", "value", F.coalesce("entry_id", F.lit(0)).alias("entry_id"), F.coalesce("score", F.lit(0.0)).alias("score"))

@@ -4,29 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_EDGE = r"^[\s ]+|[\s ]+$"
+_EDGE = r"^[\s ]+|[\s ]+$"
 
 
 def mailbox(raw: Column) -> Column:
     """Lower-case address without wrapping and without a ``+`` suffix; null if malformed."""
     c = F.lower(F.regexp_replace(raw, _EDGE, ""))
-    c = F.when(c.rlike(r"<[^<>]*>"), F.regexp_extract(c, r"<([^<>]*)>", 1)).otherwise(c)
-    c = F.regexp_replace(F.regexp_replace(c, r"^[\s(\[\"']*(mailto:)?\s*", ""), r"[\s)\]\"';,.]*$", "")
+    c = F.regexp_replace(c, r"^[^<]*<([^<>]*)>.*$", "$1")
+    c = F.regexp_replace(c, r"^[\s(\[\"']*(?:mailto:)?\s*|[\s)\]\"';,.]+$", "")
     c = F.regexp_replace(c, r"^([^@+]+)\+[^@]*@", "$1@")
-    return F.when(c.rlike(r"^[a-z0-9._%'\-]+@[a-z0-9\-]+(\.[a-z0-9\-]+)*\.[a-z]{2,}$"), c)
+    return F.nullif(F.regexp_extract(c, r"^([a-z0-9._%'\-]+@[a-z0-9\-]+(?:\.[a-z0-9\-]+)*\.[a-z]{2,})$", 1), F.lit(""))
 
 
 def phone_line(raw: Column) -> Column:
     """``+`` and digits without extension; null if malformed. Without a country prefix a
     number of ten digits (or eleven from 1) is one of the United States."""
-    c = F.regexp_replace(F.lower(F.regexp_replace(raw, _EDGE, "")), r"^(tel|phone|cell|mobile|whatsapp)\s*[.:]\s*", "")
-    c = F.regexp_replace(c, r"[\s,;]*(extension|ext\.?|x|#)\s*\d{1,6}$", "")
-    c = F.regexp_replace(c, r"\(0\)", "")
-    digits = F.regexp_replace(c, r"\D", "")
-    wide = F.when(c.rlike(r"^[\s(]*\+"), digits).when(digits.startswith("00"), F.substring(digits, 3, 20)).when(digits.startswith("011") & (F.length(digits) > 11), F.substring(digits, 4, 20))
-    wide = F.coalesce(wide, F.when(digits.rlike(r"^[2-9]\d{9}$"), F.concat(F.lit("1"), digits)).when(digits.rlike(r"^1[2-9]\d{9}$"), digits))
-    sized = F.when(wide.startswith("1"), wide.rlike(r"^1[2-9]\d{9}$")).when(wide.startswith("91"), F.length(wide) == 12).when(wide.startswith("44"), F.length(wide).isin(11, 12)).otherwise(F.length(wide).between(8, 15) & ~wide.startswith("0"))
-    return F.when(c.rlike(r"^[\s(]*\+?[\d\s().\-/‐-―]+$") & sized, F.concat(F.lit("+"), wide))
+    c = F.lower(F.regexp_replace(raw, _EDGE, ""))
+    c = F.regexp_replace(c, r"^(?:tel|phone|cell|mobile|whatsapp)\s*[.:]\s*|[\s,;]*(?:extension|ext\.?|x|#)\s*\d{1,6}$|\(0\)", "")
+    c = F.regexp_extract(c, r"^([\s(]*\+?[\d\s().\-/‐-―]+)$", 1)
+    c = F.regexp_replace(c, r"[^\d+]", "")
+    c = F.regexp_replace(c, r"^(?:00|011(?=\d{9}))", "+")
+    c = F.regexp_replace(c, r"^1?([2-9]\d{9})$", "+1$1")
+    return F.nullif(F.regexp_extract(c, r"^(\+(?:1[2-9]\d{9}|91\d{10}|44\d{9,10}|(?!91|44)[2-9]\d{7,14}))$", 1), F.lit(""))
 
 
 def contact_rows(df: DataFrame, id_col: str, emails: Column, phones: Column, shared: DataFrame) -> DataFrame:

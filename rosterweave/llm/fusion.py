@@ -36,11 +36,16 @@ def squeezed(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), r"[\s ]+", " "), r"^ | $", "")
 
 
-def usable_text(c: Column) -> Column:
-    """True if a text is neither blank nor a stand-in, a field or document name, or a test."""
-    s = squeezed(c)
-    bare = F.regexp_replace(s, r"^[\s\[({<*_\"'.:-]+|[\s\])}>*_\"'.:-]+$", "")
-    return F.coalesce(~s.isin(*STAND_INS) & ~bare.isin(*STAND_INS) & s.rlike(r"\p{L}") & ~s.rlike(r"^(applicant|candidate|test|user|person|sample|dummy)[ _#-]*(no\.? ?)?\d*$"), F.lit(False))
+def bare(s: Column) -> Column:
+    """A squeezed text without brackets and punctuation around it."""
+    return F.regexp_replace(s, r"^[\s\[({<*_\"'.:-]+|[\s\])}>*_\"'.:-]+$", "")
+
+
+def usable_text(s: Column, b: Column) -> Column:
+    """True if a text, squeezed and bare, is neither blank nor a stand-in, a field or
+    document name, or a test entry."""
+    known = F.lit(list(STAND_INS))
+    return F.coalesce(~F.array_contains(known, s) & ~F.array_contains(known, b) & s.rlike(r"\p{L}") & ~s.rlike(r"^(applicant|candidate|test|user|person|sample|dummy)[ _#-]*(no\.? ?)?\d*$"), F.lit(False))
 
 
 def usable_years(c: Column) -> Column:
@@ -49,12 +54,12 @@ def usable_years(c: Column) -> Column:
 
 def claims_of(rows: DataFrame) -> DataFrame:
     """``(group_id, field_name, value, profile_id, src, ts)``: one row for each usable value."""
-    years = F.col("years_experience").cast("double")
-    packed = F.array(
-        *[F.struct(F.lit(f).alias("field_name"), F.when(usable_text(F.col(f)), squeezed(F.col(f))).alias("value"), F.col(f).alias("shown")) for f in FIELDS if f != "years_experience"],
-        F.struct(F.lit("years_experience").alias("field_name"), F.when(usable_years(years), years.cast("string")).alias("value"), years.cast("string").alias("shown")),
-    )
-    return rows.select("group_id", "profile_id", F.coalesce("src_file", F.lit("")).alias("src"), F.col("updated_at").alias("ts"), F.explode(packed).alias("c")).select("group_id", "c.*", "profile_id", "src", "ts").where("value is not null")
+    fields = F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("shown")) for f in FIELDS])
+    raw = rows.select("group_id", "profile_id", F.coalesce("src_file", F.lit("")).alias("src"), F.col("updated_at").alias("ts"), F.explode(fields).alias("c")).select("group_id", "c.*", "profile_id", "src", "ts").where("shown is not null")
+    texts = raw.withColumn("value", squeezed(F.col("shown"))).withColumn("bare", bare(F.col("value")))
+    number = F.expr("try_cast(shown as double)")
+    good = F.when(F.col("field_name") == "years_experience", usable_years(number)).otherwise(usable_text(F.col("value"), F.col("bare")))
+    return texts.where(good).select("group_id", "field_name", "value", "shown", "profile_id", "src", "ts")
 
 
 def _votes(values: DataFrame, accuracy: dict[str, float], copying: dict[tuple[str, str], float], wrong: int) -> DataFrame:
