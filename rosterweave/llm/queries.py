@@ -11,6 +11,7 @@ from rosterweave.llm.canonical import map_records
 from rosterweave.llm.components import group_by_contact
 from rosterweave.llm.contacts import contact_rows
 from rosterweave.llm.fusion import FIELDS, claims_of, fuse
+from rosterweave.llm.name_variants import spelling_groups, variant_pairs
 from rosterweave.sources.tables import once, table
 from rosterweave.storage import cut
 
@@ -48,8 +49,23 @@ def p4_survivor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _survivors(spark, sf_dir).groupBy("group_id").agg(*aggs)
 
 
+def _spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases = [("company", "experience"), ("institution", "education"), ("full_name", "candidate_profile")]
+    names = [table(spark, sf_dir, t).select(F.lit(c).alias("kind"), F.col(c).alias("name")).distinct() for c, t in cases]
+    return spelling_groups(reduce(DataFrame.unionByName, names))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_pairs(_spellings(spark, sf_dir))
+
+
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelling with the identifier of its group."""
+    return _spellings(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups}
 
 
 def oracle_sql() -> dict[str, str]:
