@@ -12,6 +12,9 @@ from rosterweave.llm.components import group_by_contact
 from rosterweave.llm.contacts import contact_rows
 from rosterweave.llm.fusion import FIELDS, claims_of, fuse
 from rosterweave.llm.name_variants import spelling_groups, variant_pairs
+from rosterweave.llm.mixing import mix
+from rosterweave.llm.packing import fill_report, pack
+from rosterweave.llm.tokens import token_counts
 from rosterweave.sources.tables import once, table
 from rosterweave.storage import cut
 
@@ -64,8 +67,31 @@ def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spellings(spark, sf_dir)
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container of every document for every specification."""
+    sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return pack(sizes, table(spark, sf_dir, "container_spec"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(cut(p8_containers(spark, sf_dir), "packed"), table(spark, sf_dir, "container_spec"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return mix(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", "source"), table(spark, sf_dir, "mix_target"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the mix with their number of copies."""
+    return _mix(spark, sf_dir)[0]
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)[1]
+
+
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares}
 
 
 def oracle_sql() -> dict[str, str]:
