@@ -14,6 +14,7 @@ from rosterweave.llm.fusion import FIELDS, claims_of, fuse
 from rosterweave.llm.name_variants import spelling_groups, variant_pairs
 from rosterweave.llm.mixing import mix
 from rosterweave.llm.packing import fill_report, pack
+from rosterweave.llm.page_spam import find_spam
 from rosterweave.llm.tokens import token_counts
 from rosterweave.sources.tables import once, table
 from rosterweave.storage import cut
@@ -90,8 +91,12 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mix(spark, sf_dir)[1]
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_spam(table(spark, sf_dir, "documents")).where("spam >= 0.5").select("doc_id").distinct()
+
+
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares}
+    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
