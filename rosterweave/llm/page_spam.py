@@ -50,6 +50,8 @@ def _measure(text: str) -> list[float]:
     prose = loose = 0
     parts = [s for s in _SEGMENT.findall(plain) if s.strip()]
     good = kept = listed = 0
+    said = Counter(w for w in words if w not in FUNCTION_WORDS)
+    worn = {w for w, c in said.items() if c >= max(6, 0.045 * total)}  # words the text lives on
     for s in parts:
         ws = _WORD.findall(s.lower())
         size = len(s)
@@ -57,6 +59,7 @@ def _measure(text: str) -> list[float]:
             listed += size
             kept += 1
             continue
+        ended = s.rstrip().endswith((".", "!", "?", "…", ":"))
         for i in range(0, max(1, len(ws)), 16):
             window = ws[i : i + 16]
             if len(ws) - i < 24 and i == 0:
@@ -66,7 +69,9 @@ def _measure(text: str) -> list[float]:
             rate = hits / max(1, len(window))
             varied = len(set(window)) >= 0.6 * len(window)
             kept += 1
-            if len(window) >= 4 and hits >= 1 and rate >= 0.12 and varied:
+            content = [w for w in window if w not in FUNCTION_WORDS]
+            fresh = 2 * sum(w in worn for w in content) < max(1, len(content))
+            if len(window) >= 4 and hits >= 1 and rate >= 0.12 and varied and fresh and (ended or (len(window) >= 9 and hits >= 2)):
                 prose += part
                 good += 1
             if hits >= 1 and rate >= 0.07:
@@ -75,8 +80,7 @@ def _measure(text: str) -> list[float]:
                 break
     count = Counter(words)
     pairs = Counter(zip(words, words[1:], strict=False))
-    content = Counter({w: c for w, c in count.items() if w not in FUNCTION_WORDS})
-    top = sum(c for _, c in content.most_common(5)) / total
+    top = sum(c for _, c in said.most_common(5)) / total
     lines = [x.strip() for x in text.splitlines() if x.strip()]
     starts = Counter(x[:6].lower() for x in lines)
     return [
@@ -102,6 +106,7 @@ def weak_label(x: np.ndarray) -> np.ndarray:
     out = np.full(len(x), np.nan)
     record = (f["headings"] > math.log1p(1.5)) & (f["periods"] > 0)  # the form of a resume
     out[(f["prose"] < 0.25) & listing & long & ~record] = 1.0
+    out[((f["prose"] < 0.4) & (f["top_pair"] > 0.2) & (f["unique"] < 0.15) & long)] = 1.0
     out[(f["prose"] > 0.6) | record & (f["prose"] > 0.25)] = 0.0
     return out
 
