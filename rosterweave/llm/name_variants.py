@@ -42,23 +42,35 @@ def nickname_table() -> list[tuple[str, str]]:
     return [(n.lower(), given.lower()) for given, names in (p.strip().split(": ") for p in parts.NICKNAMES.split(";")) for n in names.split(" ")]
 
 
+def _errors(counts: DataFrame, threshold: float, ratio: int) -> DataFrame:
+    """``(text, fixed)``: for spellings that a far more frequent one is near to, that one.
+    ``counts`` is a cut table ``(text, n)``; near means by cosine and within two edits."""
+    nodes = counts.select(F.col("text").alias("node"), F.lit("").alias("block"), "text")
+    near = cosine_links(cut(vectors(nodes), "vectors"), threshold)
+    near = near.where("levenshtein(a, b) <= if(least(length(a), length(b)) > 4, 2, 1)")
+    near = near.select("a", "b", "sim").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
+    best = near.join(counts.select(F.col("text").alias("a"), F.col("n").alias("na")), "a").join(counts.select(F.col("text").alias("b"), F.col("n").alias("nb")), "b").where(F.col("nb") >= F.col("na") * ratio)
+    return best.groupBy(F.col("a").alias("text")).agg(F.max_by("b", F.struct("sim", "nb", "b")).alias("fixed"))
+
+
+def frequent_spelling(texts: DataFrame, threshold: float = 0.3, ratio: int = 5) -> DataFrame:
+    """``(text, spelling)`` for every distinct text: itself, or the far more frequent spelling
+    that it is near to. ``texts`` is ``(text)``, one row for each occurrence, without nulls."""
+    counts = cut(texts.groupBy("text").agg(F.count("*").alias("n")), "texts")
+    return counts.join(_errors(counts, threshold, ratio), "text", "left").select("text", F.coalesce("fixed", "text").alias("spelling"))
+
+
 def given_classes(read: DataFrame, threshold: float = 0.3, ratio: int = 5) -> DataFrame:
     """``(cls, given)``: the given names that a typed one may stand for.
 
-    A spelling that a far more frequent one is near to, by cosine and within two edits, is an
-    error for that one; a nickname
-    stands for the names it is typed with in brackets or that the table of nicknames has.
+    An error stands for the far more frequent spelling it is near to; a nickname stands for
+    the names it is typed with in brackets or that the table of nicknames has.
     """
     spark = read.sparkSession
     people = read.where("kind = 'full_name' and length(cls) > 1")
-    counts = cut(people.groupBy("cls").agg(F.count("*").alias("n")), "givens")
-    nodes = counts.select(F.col("cls").alias("node"), F.lit("").alias("block"), F.col("cls").alias("text"))
-    vecs = cut(vectors(nodes), "vectors")
-    near = cosine_links(vecs, threshold)
-    near = near.select("a", "b", "sim").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    near = near.where("levenshtein(a, b) <= if(least(length(a), length(b)) > 4, 2, 1)")
-    best = near.join(counts.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a").join(counts.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b").where(F.col("nb") >= F.col("na") * ratio)
-    best = best.groupBy(F.col("a").alias("cls")).agg(F.max_by("b", F.struct("sim", "nb", "b")).alias("fixed"))
+    counts = cut(people.groupBy(F.col("cls").alias("text")).agg(F.count("*").alias("n")), "givens")
+    best = _errors(counts, threshold, ratio).withColumnRenamed("text", "cls")
+    counts = counts.withColumnRenamed("text", "cls")
     typed = spark.createDataFrame(nickname_table(), "fixed string, given string")
     seen = people.where("nick <> ''").groupBy(F.col("nick").alias("fixed"), F.col("cls").alias("given")).count()
     most = seen.groupBy("fixed").agg(F.max("count").alias("top"))
@@ -108,6 +120,6 @@ def variant_pairs(groups: DataFrame) -> DataFrame:
     points. The pairs are the stated result; a group is paired by a join on group and salt,
     never in one task."""
     salts = 8
-    left = groups.select("kind", "group", F.col("name").alias("name_a"), F.pmod(F.xxhash64("name"), F.lit(salts)).alias("_s"))
-    right = groups.select("kind", "group", F.col("name").alias("name_b"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long").alias("_s"))
+    left = groups.select("kind", "group", F.col("name").alias("name_a"), F.pmod(F.xxhash64("name"), F.lit(salts)).cast("int").alias("_s"))
+    right = groups.select("kind", "group", F.col("name").alias("name_b"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
     return left.join(right, ["kind", "group", "_s"]).where("name_a < name_b").select("kind", "name_a", "name_b").distinct()

@@ -12,6 +12,7 @@ from rosterweave.llm.components import group_by_contact
 from rosterweave.llm.contacts import contact_rows
 from rosterweave.llm.fusion import FIELDS, claims_of, fuse
 from rosterweave.llm.name_variants import spelling_groups, variant_pairs
+from rosterweave.llm.matching import match_people, person_rows
 from rosterweave.llm.mixing import mix
 from rosterweave.llm.packing import fill_report, pack
 from rosterweave.llm.page_spam import find_spam
@@ -22,6 +23,27 @@ from rosterweave.storage import cut
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rec = once(table(spark, sf_dir, "recruiter"), "rec_id", "name", "email", "phone", "location_city", "location_country", "current_company", "linkedin", "github")
+    pro = once(table(spark, sf_dir, "candidate_profile"), "profile_id", "full_name", "emails", "phones", "location_city", "location_country", "linkedin", "github")
+    jobs = once(table(spark, sf_dir, "experience"), "exp_id", "profile_id", "company").where("company is not null").groupBy("profile_id").agg(F.collect_set("company").alias("companies"))
+    place = [F.col("location_city").alias("city"), F.col("location_country").alias("country")]
+    none = F.array().cast("array<string>")
+    left = person_rows(rec, "R", "rec_id", "name", F.array("email"), F.array("phone"), ["linkedin", "github"], [*place, F.when(F.col("current_company").isNull(), none).otherwise(F.array("current_company")).alias("companies")])
+    right = person_rows(pro.join(jobs, "profile_id", "left"), "P", "profile_id", "full_name", F.col("emails"), F.col("phones"), ["linkedin", "github"], [*place, F.coalesce("companies", none).alias("companies")])
+    return match_people(left.unionByName(right), table(spark, sf_dir, "shared_contact"), table(spark, sf_dir, "canon_entry"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_matches(spark, sf_dir).select("rec_id", "profile_id").distinct()
+
+
+def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of the same person with their confidence."""
+    number = lambda c: F.substring(c, 2, 30).cast("long")
+    return _matches(spark, sf_dir).select(number(F.col("left")).alias("rec_id"), number(F.col("right")).alias("profile_id"), "confidence")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = [("skill", "skill", "skill_id", "name"), ("title", "experience", "exp_id", "title"), ("country", "candidate_profile", "profile_id", "location_country")]
     parts = [once(table(spark, sf_dir, t), i, c).select(F.lit(kind).alias("kind"), F.col(i).alias("record_id"), F.col(c).alias("value")) for kind, t, i, c in cases]
@@ -96,7 +118,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
+    return {"p1_found": p1_found, "p1_matches": p1_matches, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
