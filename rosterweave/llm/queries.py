@@ -16,6 +16,7 @@ from rosterweave.llm.matching import match_people, person_rows
 from rosterweave.llm.mixing import mix
 from rosterweave.llm.packing import fill_report, pack
 from rosterweave.llm.page_spam import find_spam
+from rosterweave.llm.pii import find_pii, train_on
 from rosterweave.llm.tokens import token_counts
 from rosterweave.sources.tables import once, table
 from rosterweave.storage import cut
@@ -90,6 +91,22 @@ def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spellings(spark, sf_dir)
 
 
+def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    notes = once(table(spark, sf_dir, "recruiter"), "rec_id", "notes").select(F.lit("recruiter.notes").alias("field_name"), F.col("rec_id").alias("record_id"), F.col("notes").alias("text"))
+    jobs = once(table(spark, sf_dir, "experience"), "exp_id", "summary").select(F.lit("experience.summary").alias("field_name"), F.col("exp_id").alias("record_id"), F.col("summary").alias("text"))
+    texts = notes.unionByName(jobs)
+    return find_pii(texts, train_on(texts), "field_name", "record_id")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pii(spark, sf_dir).select("field_name", "record_id", F.explode("spans").alias("s")).select("field_name", "record_id", "s.*").distinct()
+
+
+def p7_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with typed placeholders for its personal information."""
+    return _pii(spark, sf_dir).select("field_name", "record_id", "redacted")
+
+
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Container of every document for every specification."""
     sizes = token_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -118,7 +135,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_matches": p1_matches, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
+    return {"p1_found": p1_found, "p1_matches": p1_matches, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivor": p4_survivor, "p6_found": p6_found, "p6_groups": p6_groups, "p7_found": p7_found, "p7_redacted": p7_redacted, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
