@@ -23,7 +23,9 @@ def skill_confidence(sources: Column) -> Column:
     """Base score by the number of different sources, times their mean weight."""
     unique = F.array_distinct(sources)
     base = F.when(F.size(unique) >= 3, SKILL_BASE[2]).when(F.size(unique) == 2, SKILL_BASE[1]).otherwise(SKILL_BASE[0])
-    return F.round(base * _mean(F.transform(unique, source_weight)), 4)
+    count = lambda w: F.size(F.filter(unique, lambda s: source_weight(s) == w))
+    total = sum((count(w) * w for w in SOURCE_WEIGHT.values()), F.lit(0.0))
+    return F.round(F.when(F.size(unique) > 0, base * (total / F.size(unique))).otherwise(0.0), 4)
 
 
 def _has(c: Column) -> Column:

@@ -1,24 +1,254 @@
-"""Queries of the core and, where SQL can express them, their equivalents for the oracle."""
+"""Queries of the core and, where SQL can express them, their equivalents for the oracle.
+
+Every query reads whole tables. Arrays are shown as texts joined by ``|``, so that both
+sides compare alike.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rosterweave.functions import extract as X, normalize as N
+from rosterweave.functions.text import pytrim
+from rosterweave.operators import check as C, merge as M, profile as P, project as J, resolve as R, score as S, validate as V
 from rosterweave.operators.split_values import split_values
+from rosterweave.plans import oracle as Q
+from rosterweave.plans.pipeline import build_profiles
+from rosterweave.sources.files import resume_records, usable
+from rosterweave.sources.people import exports, profiles, raw_records
 from rosterweave.sources.tables import once, table
+from rosterweave.storage import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CUSTOM = {
+    "fields": [
+        {"path": "full_name", "type": "string", "required": True},
+        {"path": "primary_email", "from": "emails[0]", "type": "string", "required": True},
+        {"path": "phone", "from": "phones[0]", "type": "string", "normalize": "E164"},
+        {"path": "skills", "from": "skills[].name", "type": "string[]", "normalize": "canonical"},
+        {"path": "headline", "type": "string"},
+        {"path": "years_experience", "type": "number"},
+    ],
+    "include_confidence": True, "include_provenance": False, "on_missing": "null",
+}
+
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_values(once(table(spark, sf_dir, "recruiter"), "rec_id", "skills"), "rec_id", "skills")
 
 
+def _joined(c: str) -> F.Column:
+    return F.array_join(F.col(c), "|").alias(c)
+
+
+def _one(t: str, key: str, column: str, f, name: str) -> Query:  # noqa: ANN001
+    return lambda spark, d: once(table(spark, d, t), key, column).select(key, f(F.col(column)).alias(name))
+
+
+def _validated(spark: SparkSession, d: str) -> DataFrame:
+    return cut(V.validate(raw_records(spark, d)), "validated")
+
+
+def _clustered(spark: SparkSession, d: str) -> DataFrame:
+    return R.clusters(_validated(spark, d))
+
+
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    return M.merge(_clustered(spark, d))
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    return S.score(_merged(spark, d))
+
+
+def skills_split(spark: SparkSession, d: str) -> DataFrame:
+    r = once(table(spark, d, "recruiter"), "rec_id", "skills")
+    return r.select("rec_id", F.array_join(N.skills(N.split_skills(F.col("skills"))), "|").alias("skills"))
+
+
+def experience_dates(spark: SparkSession, d: str) -> DataFrame:
+    e = once(table(spark, d, "experience"), "exp_id", "start_ym", "end_ym")
+    read = lambda c: F.when(~N.is_open_end(F.col(c)), N.date(F.col(c))).alias(c)
+    return e.select("exp_id", read("start_ym"), read("end_ym"))
+
+
+def source_types(spark: SparkSession, d: str) -> DataFrame:
+    p = once(table(spark, d, "candidate_profile"), "profile_id", "src_file")
+    return p.groupBy("src_file").agg(F.count("*").alias("n")).select("src_file", "n", V.source_type(F.col("src_file")).alias("source_type"))
+
+
+def profile_contacts(spark: SparkSession, d: str) -> DataFrame:
+    """Valid addresses of every profile, in order."""
+    p = once(table(spark, d, "candidate_profile"), "profile_id", "emails")
+    return p.select("profile_id", F.array_join(F.filter(F.transform("emails", lambda e: N.email(e)), lambda x: x.isNotNull()), "|").alias("emails"))
+
+
+def union_sources(spark: SparkSession, d: str) -> DataFrame:
+    return raw_records(spark, d).groupBy("source").agg(F.count("*").alias("n"), F.sum(F.when(pytrim(F.coalesce("full_name", F.lit(""))) != "", 1).otherwise(0)).alias("named"))
+
+
+def validation_log(spark: SparkSession, d: str) -> DataFrame:
+    v = V.validate(raw_records(spark, d))
+    return v.select("record_ix", F.posexplode("validation_log").alias("at", "r")).select("record_ix", "at", "r.*")
+
+
+def extract_emails(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", X.emails(F.col("text")).alias("emails"))
+    return docs.where(F.size("emails") > 0).select("doc_id", _joined("emails"))
+
+
+def extract_links(spark: SparkSession, d: str) -> DataFrame:
+    """The first link of every document that is of neither network."""
+    docs = table(spark, d, "documents").select("doc_id", X.link(F.col("text"), "portfolio").alias("portfolio"))
+    return docs.where("portfolio is not null")
+
+
+def extract_phones(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", X.phones(F.col("text")).alias("phones"))
+    return docs.where(F.size("phones") > 0).select("doc_id", _joined("phones"))
+
+
+def split_sections(spark: SparkSession, d: str) -> DataFrame:
+    t = F.col("text")
+    return table(spark, d, "documents").select("doc_id", *[X.section(t, s).alias(s.lower()) for s in ("HEADER", "SKILLS", "EXPERIENCE", "EDUCATION")])
+
+
+def resumes(spark: SparkSession, d: str) -> DataFrame:
+    """Raw records that the extraction reads from the documents."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("record_ix"), F.lit("documents.txt").alias("source"), "text")
+    r = usable(resume_records(docs, F.lit("2025-06-01").cast("date"), 0))
+    return r.select("record_ix", "full_name", _joined("emails"), _joined("phones"), "headline", "years_experience", _joined("skills_list"), F.to_json("experience").alias("experience"), F.to_json("education").alias("education"))
+
+
+def email_edges(spark: SparkSession, d: str) -> DataFrame:
+    return R.email_edges(R.keys(_validated(spark, d)))
+
+
+def match_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return R.edges(R.keys(_validated(spark, d)))
+
+
+def email_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters by addresses alone."""
+    return R.components(R.email_edges(R.keys(_validated(spark, d)))).select(F.col("node").alias("record_ix"), F.col("root").alias("cluster_id"))
+
+
+def clusters(spark: SparkSession, d: str) -> DataFrame:
+    return _clustered(spark, d).select("record_ix", "cluster_id")
+
+
+def cluster_sizes(spark: SparkSession, d: str) -> DataFrame:
+    sizes = clusters(spark, d).groupBy("cluster_id").agg(F.count("*").alias("size"))
+    return sizes.groupBy("size").agg(F.count("*").alias("clusters"))
+
+
+
+def merge_scalars(spark: SparkSession, d: str) -> DataFrame:
+    """Scalars merged over the records of an address, each address being a cluster."""
+    return M.merge(_address_clusters(spark, d)).select("cluster_id", "n", *M.SCALARS)
+
+
+def _address_clusters(spark: SparkSession, d: str) -> DataFrame:
+    v = _validated(spark, d).where("email is not null")
+    first = v.groupBy("email").agg(F.min("record_ix").alias("cluster_id"))
+    return v.join(first, "email")
+
+
+def merge_lists(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(spark, d).select("cluster_id", _joined("emails"), _joined("phones"), _joined("skills"))
+
+
+def merged_sources(spark: SparkSession, d: str) -> DataFrame:
+    return M.merge(_address_clusters(spark, d)).select("cluster_id", _joined("merged_sources"))
+
+
+def merge_links(spark: SparkSession, d: str) -> DataFrame:
+    return M.merge(_address_clusters(spark, d)).select("cluster_id", *[F.col(f"links.{k}").alias(k) for k in M.LINKS])
+
+
+def merge_blocks(spark: SparkSession, d: str) -> DataFrame:
+    m = _merged(spark, d)
+    return m.select("cluster_id", F.size("experience").alias("jobs"), F.size("education").alias("schools"))
+
+
+def provenance(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(spark, d).select("cluster_id", F.posexplode("provenance").alias("at", "p")).select("cluster_id", "at", "p.*")
+
+
+def provenance_detail(spark: SparkSession, d: str) -> DataFrame:
+    return S.provenance_confidence(cut(_scored(spark, d), "scored"))
+
+
+def provenance_summary(spark: SparkSession, d: str) -> DataFrame:
+    return P.provenance_summary(build_profiles(raw_records(spark, d)))
+
+
+def skill_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Confidence of every skill of the profiles, from the sources of the profiles that have it."""
+    s = once(table(spark, d, "skill"), "skill_id", "name", "src_file").where("src_file is not null").select(N.skill(F.col("name")).alias("name"), "src_file").where("name is not null")
+    return s.groupBy("name").agg(F.array_sort(F.collect_set("src_file")).alias("sources")).select("name", S.skill_confidence(F.col("sources")).alias("confidence"))
+
+
+def overall_confidence(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).select("cluster_id", "overall_confidence")
+
+
+def candidate_ids(spark: SparkSession, d: str) -> DataFrame:
+    v = V.validate(raw_records(spark, d))
+    return v.select("record_ix", P.candidate_id(F.col("emails"), F.col("full_name"), F.col("phones")).alias("candidate_id"))
+
+
+def profiles_built(spark: SparkSession, d: str) -> DataFrame:
+    p = build_profiles(raw_records(spark, d))
+    return p.select("cluster_id", "candidate_id", "full_name", "headline", "years_experience", F.size("skills").alias("n_skills"), F.col("location.country").alias("country"), "overall_confidence")
+
+
+def _projected(config: dict | None) -> Query:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        parsed = J.parse_config(config)
+        rows = C.check(J.project(build_profiles(raw_records(spark, d)), parsed, "cluster_id"), parsed)
+        shown = [F.to_json(c).alias(c) if t.startswith(("array", "struct")) else F.col(c) for c, t in rows.dtypes]
+        return rows.select(*shown)
+
+    return query
+
+
+def project_omit(spark: SparkSession, d: str) -> DataFrame:
+    config = J.parse_config(CUSTOM | {"on_missing": "omit"})
+    return J.project_json(build_profiles(raw_records(spark, d)), config, "cluster_id")
+
+
+def valid_output(spark: SparkSession, d: str) -> DataFrame:
+    parsed = J.parse_config(CUSTOM)
+    rows = C.valid_only(C.check(J.project(build_profiles(raw_records(spark, d)), parsed, "cluster_id"), parsed))
+    return rows.withColumn("skills", F.array_join("skills", "|"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p5_found": p5_found}
+    return {
+        "p5_found": p5_found,
+        "normalize_email": _one("recruiter", "rec_id", "email", N.email, "email"),
+        "normalize_phone": _one("recruiter", "rec_id", "phone", N.phone, "phone"),
+        "format_phone_national": _one("recruiter", "rec_id", "phone", lambda c: N.phone_national(N.phone(c)), "phone"),
+        "normalize_country": _one("candidate_profile", "profile_id", "location_country", N.country, "country"),
+        "normalize_skill": _one("skill", "skill_id", "name", N.skill, "name"),
+        "normalize_date": _one("experience", "exp_id", "start_ym", N.date, "start_ym"),
+        "validate_years": _one("recruiter", "rec_id", "years_experience", N.years, "years"),
+        "validate_url": _one("recruiter", "rec_id", "linkedin", N.url, "linkedin"),
+        "skills_split": skills_split, "experience_dates": experience_dates, "source_type": source_types, "profile_contacts": profile_contacts, "union_sources": union_sources,
+        "validation_log": validation_log, "rejections_by_field": lambda s, d: V.rejections(V.validate(raw_records(s, d))),
+        "usable_records": lambda s, d: usable(profiles(s, d)).select("record_ix"), "csv_remap": lambda s, d: exports(s, d).select("record_ix", "source", "full_name", "skills_text"),
+        "extract_emails": extract_emails, "extract_phones": extract_phones, "extract_links": extract_links, "split_sections": split_sections, "resume_records": resumes,
+        "email_edges": email_edges, "match_reasons": match_reasons, "email_clusters": email_clusters, "clusters": clusters, "cluster_sizes": cluster_sizes,
+        "merge_scalars": merge_scalars, "merge_lists": merge_lists, "merged_sources": merged_sources, "merge_links": merge_links, "merge_blocks": merge_blocks,
+        "provenance": provenance, "provenance_detail": provenance_detail, "provenance_summary": provenance_summary, "skill_confidence": skill_confidence, "overall_confidence": overall_confidence,
+        "candidate_id": candidate_ids, "profiles": profiles_built, "project_default": _projected(None), "project_custom": _projected(CUSTOM), "project_error": _projected(CUSTOM | {"on_missing": "error"}), "project_omit": project_omit,
+        "valid_output": valid_output,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return Q.oracle_sql()
