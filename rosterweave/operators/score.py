@@ -25,7 +25,8 @@ def skill_confidence(sources: Column) -> Column:
     base = F.when(F.size(unique) >= 3, SKILL_BASE[2]).when(F.size(unique) == 2, SKILL_BASE[1]).otherwise(SKILL_BASE[0])
     count = lambda w: F.size(F.filter(unique, lambda s: source_weight(s) == w))
     total = sum((count(w) * w for w in SOURCE_WEIGHT.values()), F.lit(0.0))
-    return F.round(F.when(F.size(unique) > 0, base * (total / F.size(unique))).otherwise(0.0), 4)
+    # ties go up also where the binary product lies a hair below
+    return F.round(F.when(F.size(unique) > 0, base * (total / F.size(unique)) + 1e-9).otherwise(0.0), 4)
 
 
 def _has(c: Column) -> Column:

@@ -113,7 +113,7 @@ def oracle_sql() -> dict[str, str]:
         "merge_scalars": f"WITH {_ADDRESSED} SELECT cluster_id, count(*) AS n, {merged} FROM addressed GROUP BY cluster_id",
         "merge_links": f"WITH {_ADDRESSED} SELECT cluster_id, {links} FROM addressed GROUP BY cluster_id",
         "merged_sources": f"WITH {_ADDRESSED} SELECT cluster_id, string_agg(source, '|' ORDER BY ix) AS merged_sources FROM (SELECT cluster_id, source, min(record_ix) AS ix FROM addressed GROUP BY ALL) GROUP BY cluster_id",
-        "skill_confidence": f"""SELECT name, round(CASE WHEN count(*) >= 3 THEN 0.95 WHEN count(*) = 2 THEN 0.90 ELSE 0.70 END::DOUBLE * ((count(*) FILTER (WHERE k = 1) * 1.0::DOUBLE + count(*) FILTER (WHERE k = 2) * 0.85::DOUBLE + count(*) FILTER (WHERE k = 3) * 0.8::DOUBLE) / count(*)), 4) AS confidence FROM (
+        "skill_confidence": f"""SELECT name, round(CASE WHEN count(*) >= 3 THEN 0.95 WHEN count(*) = 2 THEN 0.90 ELSE 0.70 END::DOUBLE * ((count(*) FILTER (WHERE k = 1) * 1.0::DOUBLE + count(*) FILTER (WHERE k = 2) * 0.85::DOUBLE + count(*) FILTER (WHERE k = 3) * 0.8::DOUBLE) / count(*)) + 1e-9, 4) AS confidence FROM (
             SELECT DISTINCT {_skill('name')} AS name, src_file, {kind} AS k FROM skill WHERE src_file IS NOT NULL) WHERE name IS NOT NULL GROUP BY name""",
         "candidate_id": f"""WITH {_RECORDS}, raw AS (SELECT DISTINCT rec_id AS id, 1 AS pos, phone AS raw FROM recruiter UNION ALL SELECT profile_id + {PROFILE_BASE}, pos, raw FROM (SELECT profile_id, unnest(phones) AS raw, generate_subscripts(phones, 1) AS pos FROM (SELECT DISTINCT profile_id, phones FROM candidate_profile))),
             first AS (SELECT id, arg_min(phone, pos) AS phone FROM ({_phones("SELECT * FROM raw")}) WHERE phone IS NOT NULL GROUP BY id)
