@@ -15,7 +15,7 @@ import unicodedata
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterweave.llm.aliases import ALIASES, OTHERS, REMARK_WORDS
 from rosterweave.operators.joins import bounded_broadcast, lookup_join
@@ -104,9 +104,13 @@ def osa(a: str, b: str) -> int:
     return row[-1]
 
 
-@F.pandas_udf("int")
-def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([osa(x, y) for x, y in zip(a, b, strict=True)], dtype="int32")
+def _distance(a: str, b: str) -> Column:
+    """Column of the edit distance of two text columns."""
+
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([osa(p, q) for p, q in zip(x, y, strict=True)], dtype="int32")
+
+    return F.pandas_udf(run, "int")(a, b)
 
 
 def _deletions(col: str):
@@ -118,6 +122,14 @@ def _deletions(col: str):
     return F.array_distinct(F.concat(F.array(c), one, two))
 
 
+def near_texts(rare: DataFrame, often: DataFrame) -> DataFrame:
+    """``(text, n, fixed, often, d)``: texts of ``rare(text, n)`` with different ones of
+    ``often(fixed, often)`` that are one edit away, or two for five characters and more."""
+    met = rare.select("text", "n", F.explode(_deletions("text")).alias("_k")).join(bounded_broadcast(cut(often.select("fixed", "often", F.explode(_deletions("fixed")).alias("_k")), "often")), "_k")
+    pairs = met.where("text <> fixed").select("text", "n", "fixed", "often").distinct().withColumn("d", _distance("text", "fixed"))
+    return pairs.where("d <= if(least(length(text), length(fixed)) > 4, 2, 1)")
+
+
 def repair(units: DataFrame, words: DataFrame) -> DataFrame:
     """``(kind, unit, token, sim)``: the words of the vocabulary near each distinct unit.
 

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from rosterweave.llm import name_parts as parts
 from rosterweave.llm.linkage import cluster
-from rosterweave.llm.ngrams import cosine_links, vectors
+from rosterweave.llm.canonical import near_texts
+from rosterweave.llm.ngrams import linked
 from rosterweave.storage import cut
 
 LEXICONS = {"company": parts.LINES, "institution": parts.SCHOOLS}
@@ -42,25 +43,23 @@ def nickname_table() -> list[tuple[str, str]]:
     return [(n.lower(), given.lower()) for given, names in (p.strip().split(": ") for p in parts.NICKNAMES.split(";")) for n in names.split(" ")]
 
 
-def _errors(counts: DataFrame, threshold: float, ratio: int) -> DataFrame:
-    """``(text, fixed)``: for spellings that a far more frequent one is near to, that one.
-    ``counts`` is a cut table ``(text, n)``; near means by cosine and within two edits."""
-    nodes = counts.select(F.col("text").alias("node"), F.lit("").alias("block"), "text")
-    near = cosine_links(cut(vectors(nodes), "vectors"), threshold)
-    near = near.where("levenshtein(a, b) <= if(least(length(a), length(b)) > 4, 2, 1)")
-    near = near.select("a", "b", "sim").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    best = near.join(counts.select(F.col("text").alias("a"), F.col("n").alias("na")), "a").join(counts.select(F.col("text").alias("b"), F.col("n").alias("nb")), "b").where(F.col("nb") >= F.col("na") * ratio)
-    return best.groupBy(F.col("a").alias("text")).agg(F.max_by("b", F.struct("sim", "nb", "b")).alias("fixed"))
+def _errors(counts: DataFrame, ratio: int) -> DataFrame:
+    """``(text, fixed)``: for spellings that a far more frequent one is within two edits of,
+    that one. ``counts`` is a cut table ``(text, n)``."""
+    rare = counts.select("text", "n")
+    often = counts.where(F.col("n") >= ratio).select(F.col("text").alias("fixed"), F.col("n").alias("often"))
+    near = near_texts(rare, often).where(F.col("often") >= F.col("n") * ratio)
+    return near.groupBy("text").agg(F.max_by("fixed", F.struct((-F.col("d")).alias("d"), "often", "fixed")).alias("fixed"))
 
 
-def frequent_spelling(texts: DataFrame, threshold: float = 0.3, ratio: int = 5) -> DataFrame:
+def frequent_spelling(texts: DataFrame, ratio: int = 5) -> DataFrame:
     """``(text, spelling)`` for every distinct text: itself, or the far more frequent spelling
     that it is near to. ``texts`` is ``(text)``, one row for each occurrence, without nulls."""
     counts = cut(texts.groupBy("text").agg(F.count("*").alias("n")), "texts")
-    return counts.join(_errors(counts, threshold, ratio), "text", "left").select("text", F.coalesce("fixed", "text").alias("spelling"))
+    return counts.join(_errors(counts, ratio), "text", "left").select("text", F.coalesce("fixed", "text").alias("spelling"))
 
 
-def given_classes(read: DataFrame, threshold: float = 0.3, ratio: int = 5) -> DataFrame:
+def given_classes(read: DataFrame, ratio: int = 5) -> DataFrame:
     """``(cls, given)``: the given names that a typed one may stand for.
 
     An error stands for the far more frequent spelling it is near to; a nickname stands for
@@ -69,7 +68,7 @@ def given_classes(read: DataFrame, threshold: float = 0.3, ratio: int = 5) -> Da
     spark = read.sparkSession
     people = read.where("kind = 'full_name' and length(cls) > 1")
     counts = cut(people.groupBy(F.col("cls").alias("text")).agg(F.count("*").alias("n")), "givens")
-    best = _errors(counts, threshold, ratio).withColumnRenamed("text", "cls")
+    best = _errors(counts, ratio).withColumnRenamed("text", "cls")
     counts = counts.withColumnRenamed("text", "cls")
     typed = spark.createDataFrame(nickname_table(), "fixed string, given string")
     seen = people.where("nick <> ''").groupBy(F.col("nick").alias("fixed"), F.col("cls").alias("given")).count()
@@ -82,36 +81,37 @@ def given_classes(read: DataFrame, threshold: float = 0.3, ratio: int = 5) -> Da
     return one.join(nicks, "fixed", "left").select("cls", F.coalesce("given", "fixed").alias("given")).distinct()
 
 
-def spelling_groups(names: DataFrame, link: float = 0.5, merge: float = 0.42) -> DataFrame:
+def spelling_groups(names: DataFrame, link: float = 0.36, merge: float = 0.42) -> DataFrame:
     """``(kind, name, group)``: every distinct spelling with the groups it belongs to, mostly one.
 
     ``names`` is ``(kind, name)``, kind being company, institution or full_name. Null and
     stand-in names are left out, repeated rows count once, and a name that is like no other
-    has a group of its own. An empty table gives an empty result.
+    has a group of its own. A spelling with an open class joins a group first by a text that
+    a spelling of a class it allows has letter for letter, else by a link. An empty table
+    gives an empty result.
     """
     read = cut(names.where("name is not null").select("kind", "name").distinct().mapInPandas(_read, "kind string, name string, cls string, text string, nick string"), "read")
     givens = cut(given_classes(read), "classes")
-    people = read.where("kind = 'full_name'")
-    full = people.where("length(cls) > 1").join(givens, "cls").select("kind", "name", F.col("given").alias("cls"), "text")
+    full = read.where("kind = 'full_name' and length(cls) > 1").join(F.broadcast(givens) if givens.count() < 50_000 else givens, "cls").select("kind", "name", F.col("given").alias("cls"), "text")
     orgs = read.where("kind <> 'full_name' and cls <> ''").select("kind", "name", "cls", "text")
-    open_ = read.where("cls = '' or (kind = 'full_name' and length(cls) = 1)")
-    choices = full.select("kind", "cls").unionByName(orgs.select("kind", "cls")).distinct()
-    choices = cut(choices, "choices")
-    widened = open_.select("kind", "name", F.col("cls").alias("first"), "text").join(choices, "kind").where("first = '' or startswith(cls, first)").select("kind", "name", "cls", "text")
-    sure = full.unionByName(orgs).withColumn("sure", F.lit(True))
-    spelled = cut(sure.unionByName(widened.withColumn("sure", F.lit(False))).withColumn("node", F.concat_ws("|", "kind", "cls", "text")), "spelled")
-
-    nodes = spelled.groupBy("node", F.concat_ws("|", "kind", "cls").alias("block"), "text").agg(F.max("sure").alias("sure"))
-    nodes = cut(nodes, "nodes")
-    vecs = cut(vectors(nodes.select("node", "block", "text")).join(nodes.select("node", "sure"), "node"), "vectors")
-    links = cut(cosine_links(vecs, link), "links")
-    grouped = cut(cluster(vecs, links, merge), "grouped")
-    member = nodes.select("node", "sure").join(grouped, "node", "left").select("node", "sure", F.coalesce("cluster", "node").alias("group"))
-    held = cut(member, "member")
-    real = held.where("sure").select("group").distinct()
-    placed = spelled.join(held.join(real, "group", "left_semi").select("node", "group"), "node").select("kind", "name", "group").distinct()
-    placed = cut(placed, "placed")
-    alone = open_.join(placed.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name", F.concat_ws("|", "kind", F.concat(F.lit("?"), "cls"), "text").alias("group"))
+    sure = cut(full.unionByName(orgs), "sure")
+    open_ = read.where("cls = '' or (kind = 'full_name' and length(cls) = 1)").select("kind", "name", F.col("cls").alias("first"), "text")
+    allowed = "first = '' or startswith(cls, first)"
+    known = sure.select("kind", "cls", "text").distinct()
+    exact = cut(open_.join(known, ["kind", "text"]).where(allowed).select("kind", "name", "cls", "text"), "exact")
+    rest = open_.join(exact.select("kind", "name").distinct(), ["kind", "name"], "left_anti")
+    widened = rest.join(known.select("kind", "cls").distinct(), "kind").where(allowed).select("kind", "name", "cls", "text")
+    tagged = sure.unionByName(exact).withColumn("sure", F.lit(True)).unionByName(widened.withColumn("sure", F.lit(False)))
+    spelled = cut(tagged.withColumn("id", F.xxhash64("kind", "cls", "text")), "spelled")
+
+    nodes = cut(spelled.groupBy("id").agg(F.first(F.concat_ws("|", "kind", "cls")).alias("block"), F.first("text").alias("text"), F.max("sure").alias("sure")), "nodes")
+    weights, links = linked(nodes, link)
+    grouped = cut(cluster(nodes, weights, links, merge), "grouped")
+    member = nodes.select("id", "sure").join(grouped, "id", "left").select("id", "sure", F.coalesce("cluster", "id").alias("cluster"))
+    real = member.where("sure").select("cluster").distinct()
+    placed = spelled.join(member.join(real, "cluster", "left_semi").select("id", "cluster"), "id")
+    placed = cut(placed.select("kind", "name", F.concat_ws("|", "kind", "cls", F.col("cluster").cast("string")).alias("group")).distinct(), "placed")
+    alone = rest.join(placed.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name", F.concat_ws("|", "kind", F.concat(F.lit("?"), "first"), "text").alias("group"))
     return placed.unionByName(alone)
 
 

@@ -2,52 +2,129 @@
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterweave.operators.joins import lookup_join
+from rosterweave.storage import cut
 
+BUCKETS = 1 << 18
+LINK_GRAMS = (3,)
 
-def grams(text: Column) -> Column:
-    """Distinct two- and three-grams of a text with marked ends."""
-    t = F.concat(F.lit("^"), text, F.lit("$"))
-    cut = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - (k - 1), F.lit(1))), lambda i: F.substr(t, i, F.lit(k)))
-    return F.array_distinct(F.concat(cut(2), cut(3)))
 
+def gram_buckets(text: str, sizes: tuple[int, ...] = (2, 3)) -> list[int]:
+    """Buckets of the distinct grams of a text with marked ends."""
+    t = f"^{text}$"
+    return sorted({zlib.crc32(t[i : i + k].encode()) % BUCKETS for k in sizes for i in range(max(1, len(t) - k + 1))})
 
-def vectors(nodes: DataFrame) -> DataFrame:
-    """``nodes(node, block, text)`` with ``vec``: ``(w, g)`` of unit length, heaviest first.
 
-    A gram weighs 1 + ln(N / df), scaled by ln N, over all nodes, so that rare grams lead
-    without outweighing the rest of a name that has a typing error.
-    """
-    total = max(2, nodes.count())
-    hashed = nodes.select("node", "block", "text", F.transform(grams(F.col("text")), lambda g: F.xxhash64(g)).alias("_g"))
-    long = hashed.select("node", F.explode("_g").alias("g"))
-    weight = long.groupBy("g").count().select("g", (1 + F.log(F.lit(total) / F.col("count")) / F.log(F.lit(float(total)))).alias("w"))
-    packed = lookup_join(long, weight, ["g"], "node", "inner").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("w", "g")), asc=False).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.w * x.w))
-    packed = packed.withColumn("_n", norm).select("node", F.transform("v", lambda x: F.struct((x.w / F.col("_n")).alias("w"), x.g.alias("g"))).alias("vec"))
-    return nodes.join(packed, "node")
+class Weights:
+    """Weight of each gram bucket: 1 + ln(N / df) / ln N over all nodes, so that rare grams
+    lead without outweighing the rest of a name that has a typing error. The number of
+    buckets bounds what travels to the executors, whatever the alphabet."""
+
+    def __init__(self, w: np.ndarray) -> None:
+        self.w = w
+
+    @staticmethod
+    def counted(df: dict[int, int], total: int) -> Weights:
+        w = np.full(BUCKETS, 2.0, np.float32)
+        for bucket, n in df.items():
+            w[bucket] = 1 + math.log(max(1.0, total / n)) / math.log(max(2, total))
+        return Weights(w)
+
+    def vector(self, text: str, sizes: tuple[int, ...] = (2, 3)) -> list[tuple[float, int]]:
+        """``(weight, bucket)`` of unit length, heaviest first."""
+        raw = [(float(self.w[b]), b) for b in gram_buckets(text, sizes)]
+        norm = math.sqrt(sum(w * w for w, _ in raw))
+        return sorted(((w / norm, b) for w, b in raw), reverse=True)
+
+
+def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        found = np.fromiter((b for t in batch["text"] for b in gram_buckets(t)), np.int64)
+        bucket, n = np.unique(found, return_counts=True)
+        yield pd.DataFrame({"b": bucket, "n": n})
+
+
+def gram_weights(nodes: DataFrame) -> Weights:
+    """Weights from all nodes of a cut table ``(id, block, text)``; counted in the batches first."""
+    rows = nodes.select("text").mapInPandas(_buckets, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()
+    return Weights.counted({r.b: r.n for r in rows}, nodes.count())
+
 
+def cosine(weights: Weights):  # noqa: ANN201
+    """Column function of two texts."""
+    held = shared(weights)
 
-def cosine(a: str, b: str) -> Column:
-    """Dot product of two gram vectors of unit length."""
-    return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + F.aggregate(b, F.lit(0.0), lambda s, y: F.when(y.g == x.g, x.w * y.w).otherwise(s)))
+    @F.pandas_udf("double")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        w = Weights(held.value)
+        known: dict[str, dict[int, float]] = {}
 
+        def vec(t: str) -> dict[int, float]:
+            if t not in known:
+                known[t] = {g: x for x, g in w.vector(t, LINK_GRAMS)}
+            return known[t]
 
-def cosine_links(vecs: DataFrame, threshold: float) -> DataFrame:
+        out = []
+        for x, y in zip(a, b, strict=True):
+            p, q = vec(x), vec(y)
+            if len(q) < len(p):
+                p, q = q, p
+            out.append(sum(v * q.get(g, 0.0) for g, v in p.items()))
+        return pd.Series(out, dtype="float64")
+
+    return run.asNondeterministic()  # else the test on it moves below the distinct pairs
+
+
+def shared(weights: Weights):  # noqa: ANN201
+    """The array of the weights as a broadcast variable."""
+    from pyspark.sql import SparkSession
+
+    return SparkSession.getActiveSession().sparkContext.broadcast(weights.w)
+
+
+def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Column | None = None) -> DataFrame:
     """``(a, b, sim)``: all pairs of nodes of one block, a < b, with a cosine of at least
-    ``threshold`` and at most half of the longer text to be edited. ``vecs`` is a cut table of
-    :func:`vectors`.
+    ``threshold`` over three-grams, and at most one edit and a third of the longer text
+    between them. ``nodes`` is a cut table ``(id, block, text)`` with ids of type long.
 
     A pair at the threshold shares a gram of the heaviest part of one vector whose rest has a
     norm below the threshold; only that part is posted, which leaves the common grams out
-    and loses no pair. The posting key is block and gram.
+    and loses no pair. A posting is a hash of block and gram with id and text, and a pair is
+    tested on its lengths and edits where it meets, so only near pairs are written.
     """
-    mass = F.aggregate("vec", F.struct(F.lit(0.0).alias("m"), F.lit(0).alias("n")), lambda s, x: F.when(s.m > 1 - threshold**2 + 1e-9, s).otherwise(F.struct((s.m + x.w * x.w).alias("m"), (s.n + 1).alias("n"))))
-    posted = vecs.withColumn("_k", mass["n"]).select("node", "block", "text", "vec", F.explode(F.slice("vec", F.lit(1), F.col("_k"))).alias("_x"))
-    left = posted.select("block", F.col("_x.g").alias("g"), F.col("node").alias("a"), F.col("text").alias("ta"), F.col("vec").alias("va"))
-    right = posted.select("block", F.col("_x.g").alias("g"), F.col("node").alias("b"), F.col("text").alias("tb"), F.col("vec").alias("vb"))
-    pairs = left.join(right, ["block", "g"]).where("a < b").where("abs(length(ta) - length(tb)) * 2 <= greatest(length(ta), length(tb))")
-    pairs = pairs.where("levenshtein(ta, tb) * 2 <= greatest(length(ta), length(tb))")
-    return pairs.withColumn("sim", F.round(cosine("va", "vb"), 9)).where(F.col("sim") >= threshold).select("a", "b", "sim").distinct()
+    held = shared(weights)
+
+    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = Weights(held.value)
+        for batch in batches:
+            ids, keys, texts = [], [], []
+            for i, block, text in zip(batch["id"], batch["block"], batch["text"], strict=True):
+                start, mass = zlib.crc32(block.encode()) << 18, 0.0
+                for x, bucket in w.vector(text, LINK_GRAMS):
+                    ids.append(i), keys.append(start | bucket), texts.append(text)
+                    mass += x * x
+                    if mass > 1 - threshold**2 + 1e-9:
+                        break
+            yield pd.DataFrame({"key": keys, "id": ids, "text": texts})
+
+    posted = nodes.select("id", "block", "text").mapInPandas(post, "key long, id long, text string")
+    left = posted.select("key", F.col("id").alias("a"), F.col("text").alias("ta"))
+    right = posted.select("key", F.col("id").alias("b"), F.col("text").alias("tb"))
+    met = left.join(right, "key").where("a < b and abs(length(ta) - length(tb)) <= 1 + greatest(length(ta), length(tb)) div 3").where("levenshtein(ta, tb, 1 + greatest(length(ta), length(tb)) div 3) >= 0")
+    if keep is not None:
+        met = met.where(keep)
+    pairs = met.select("a", "b", "ta", "tb").distinct()
+    return pairs.withColumn("sim", cosine(weights)("ta", "tb")).where(F.col("sim") >= threshold).select("a", "b", "sim")
+
+
+def linked(nodes: DataFrame, threshold: float) -> tuple[Weights, DataFrame]:
+    """The weights of the nodes and their links as a cut table."""
+    weights = gram_weights(nodes)
+    return weights, cut(cosine_links(nodes, weights, threshold), "links")
