@@ -21,6 +21,7 @@ from rosterweave.llm.aliases import ALIASES, OTHERS, REMARK_WORDS
 from rosterweave.operators.joins import bounded_broadcast, lookup_join
 from rosterweave.storage import cut
 
+LONGEST = 64  # characters of a token or name that may have a typing error
 _NOISE = re.compile(r"\b\d+\s*(?:\+\s*)?(?:years?|yrs?)\b(?:\s+of\b)?|\*{2,}")
 _TOKEN = re.compile(r"[a-z0-9]+(?:\+\+|#)?(?:\d+)?\+?")
 
@@ -114,11 +115,13 @@ def _distance(a: str, b: str) -> Column:
 
 
 def _deletions(col: str):
-    """The text and all texts with one or two characters left out; one for up to five, none for up to two."""
+    """The text and all texts with one or two characters left out; one for up to four, none for
+    up to two and for more than ``LONGEST``, which are compared as they are."""
     c = F.col(col)
+    fits = F.length(c) <= LONGEST
     less = lambda x: F.transform(F.sequence(F.lit(1), F.length(x)), lambda i: F.concat(F.substring(x, F.lit(1), i - 1), F.substr(x, i + 1)))
-    one = F.when(F.length(c) > 2, less(c)).otherwise(F.array().cast("array<string>"))
-    two = F.when(F.length(c) > 4, F.flatten(F.transform(less(c), less))).otherwise(F.array().cast("array<string>"))
+    one = F.when(fits & (F.length(c) > 2), less(c)).otherwise(F.array().cast("array<string>"))
+    two = F.when(fits & (F.length(c) > 4), F.flatten(F.transform(less(c), less))).otherwise(F.array().cast("array<string>"))
     return F.array_distinct(F.concat(F.array(c), one, two))
 
 
