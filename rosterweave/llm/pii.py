@@ -63,37 +63,58 @@ class Field:
 
 
 def features(kinds: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Feature numbers ``(tokens, slots)``. The words of capitals are not looked at, so that
-    a name is known by its surroundings and its form, not by heart."""
+    """Feature numbers ``(tokens, slots)`` of texts written one after the other with two edges
+    before and behind each; the rows of the edges are of no use. The words of capitals are
+    not looked at, so that a name is known by its surroundings and its form, not by heart."""
+    k = np.concatenate([[0, 0], kinds, [0, 0]])
+    w = np.concatenate([[0, 0], words, [0, 0]])
     n = len(kinds)
-    k = np.concatenate([[KIND_NUMBER["edge"]] * 2, kinds, [KIND_NUMBER["edge"]] * 2]).astype(np.int64)
-    w = np.concatenate([[1, 1], words, [2, 2]]).astype(np.int64)
-    a = slice(2, n + 2)
-    s = lambda d: slice(2 + d, n + 2 + d)
-    raw = [k[a], w[a], w[s(-1)], w[s(1)], w[s(-2)] * 31 + w[s(-1)], w[s(2)] * 31 + w[s(1)], k[s(-1)] * 64 + k[a], k[s(1)] * 64 + k[a], (k[s(-1)] * 64 + k[a]) * 64 + k[s(1)], w[s(-1)] * 131 + w[s(1)] * 17 + k[a]]
-    return np.stack([(r % WIDTH) + i * WIDTH for i, r in enumerate(raw)], axis=1)
+    s = lambda x, d: x[2 + d : n + 2 + d]
+    k0, w0, kb, ka, wb, wa = s(k, 0), s(w, 0), s(k, -1), s(k, 1), s(w, -1), s(w, 1)
+    raw = (k0, w0, wb, wa, s(w, -2) * 31 + wb, s(w, 2) * 31 + wa, kb * 64 + k0, ka * 64 + k0, (kb * 64 + k0) * 64 + ka, wb * 131 + wa * 17 + k0)
+    out = np.empty((n, len(SLOTS)), np.int64)
+    for i, r in enumerate(raw):
+        np.bitwise_and(r, WIDTH - 1, out=out[:, i])
+        out[:, i] += i * WIDTH
+    return out
+
+
+EDGES = (np.array([KIND_NUMBER["edge"]] * 2, np.int64), np.array([1, 1], np.int64), np.array([2, 2], np.int64))
+
+
+def joined(docs: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kinds and words of texts in one row with their edges, and where each text begins."""
+    kinds, words, starts, at = [], [], [], 2
+    for d in docs:
+        kinds += [EDGES[0], d[1], EDGES[0]]
+        words += [EDGES[1], d[2], EDGES[2]]
+        starts.append(at)
+        at += len(d[1]) + 4
+    return np.concatenate(kinds), np.concatenate(words), np.array(starts)
 
 
 class Reader:
     """Turns texts into arrays; remembers the hashes of words."""
 
     def __init__(self) -> None:
-        self.known: dict[tuple[str, str], int] = {}
-
-    def word(self, kind: str, word: str) -> int:
-        key = (kind, word)
-        if key not in self.known:
-            hidden = kind in ("capital", "capitals", "initial", "number") and not word.isupper() or kind in ("initial", "number")
-            self.known[key] = hashed(kind if hidden or kind == "capitals" and len(word) > 4 else word)
-            if kind == "capital":
-                self.known[key] = hashed(word) if word in CAPITAL_WORDS else hashed("Capital")
+        self.known: dict[tuple[str, str], tuple[int, int]] = {}
+
+    def word(self, key: tuple[str, str]) -> tuple[int, int]:
+        kind, word = key
+        if kind == "capital":
+            h = hashed(word) if word in CAPITAL_WORDS else hashed("Capital")
+        elif kind == "capitals" and len(word) > 4:
+            h = hashed("capitals")
+        else:
+            h = hashed(word)
+        self.known[key] = (KIND_NUMBER[kind], h)
         return self.known[key]
 
     def __call__(self, text: str) -> tuple[list, np.ndarray, np.ndarray]:
         toks = tokens_of(text)
-        kinds = np.fromiter((KIND_NUMBER[t[0]] for t in toks), np.int64, len(toks))
-        words = np.fromiter((self.word(t[0], t[3]) for t in toks), np.int64, len(toks))
-        return toks, kinds, words
+        known, word = self.known, self.word
+        both = np.array([known.get((k, w)) or word((k, w)) for k, _, _, w in toks], np.int64).reshape(-1, 2)
+        return toks, np.ascontiguousarray(both[:, 0]), np.ascontiguousarray(both[:, 1])
 
 
 # Capitalised words of ordinary sentences, which say where a name may stand.
@@ -117,16 +138,18 @@ def skip_edges(toks: list, most_gap: int = 100_000) -> list[tuple[int, int]]:
     return edges
 
 
-def _pad(docs: list[tuple[list, np.ndarray, np.ndarray]], field: Field) -> tuple[np.ndarray, np.ndarray]:
-    size = max(len(d[0]) for d in docs)
-    unary = np.zeros((len(docs), size, len(LABELS)))
-    unary[:, :, 1:] = NEVER
-    mask = np.zeros((len(docs), size), bool)
-    for i, (toks, kinds, words) in enumerate(docs):
-        if len(toks):
-            unary[i, : len(toks)] = field.w[features(kinds, words)].sum(axis=1) + ALLOWED[kinds]
-            mask[i, : len(toks)] = True
-    return unary, mask
+def _pad(docs: list, field: Field) -> np.ndarray:
+    """Log potentials ``(texts, positions, labels)``; padding is O."""
+    kinds, words, starts = joined(docs)
+    score = field.w[features(kinds, words)].sum(axis=1) + ALLOWED[kinds]
+    lengths = np.array([len(d[1]) for d in docs])
+    size = int(lengths.max())
+    at = np.arange(size)[None, :]
+    inside = at < lengths[:, None]
+    unary = np.full((len(docs), size, len(LABELS)), NEVER, np.float32)
+    unary[:, :, O] = 0
+    unary[inside] = score[(starts[:, None] + at)[inside]]
+    return unary
 
 
 def _lse(x: np.ndarray, axis: int) -> np.ndarray:
@@ -134,20 +157,28 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis=axis))
 
 
-def marginals(unary: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Log beliefs of chains, and the forward and backward messages. Padding labels are O,
-    which any label may precede, so a chain ends where its padding begins."""
+def marginals(unary: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Beliefs of chains, the potentials scaled, and the scaled forward and backward messages.
+    Padding labels are O, which any label may precede, so a chain ends where its padding begins."""
     n, size, k = unary.shape
-    alpha, beta = np.empty_like(unary), np.zeros_like(unary)
-    start = unary[:, 0].copy()
-    start[:, I] += NEVER
-    alpha[:, 0] = start
+    u = np.exp(unary - unary.max(axis=2, keepdims=True))
+    u[:, 0, I] = 0
+    p = np.exp(step).astype(u.dtype)
+    alpha, beta = np.empty_like(u), np.ones_like(u)
+    a = u[:, 0]
+    alpha[:, 0] = a
     for t in range(1, size):
-        alpha[:, t] = _lse(alpha[:, t - 1][:, :, None] + step[None], 1) + unary[:, t]
+        a = (a @ p) * u[:, t]
+        a /= a.sum(axis=1, keepdims=True)
+        alpha[:, t] = a
+    b = beta[:, size - 1]
     for t in range(size - 2, -1, -1):
-        beta[:, t] = _lse(step[None] + (unary[:, t + 1] + beta[:, t + 1])[:, None, :], 2)
-    belief = alpha + beta
-    return belief - _lse(belief, 2)[:, :, None], alpha, beta
+        b = (u[:, t + 1] * b) @ p.T
+        b /= b.sum(axis=1, keepdims=True)
+        beta[:, t] = b
+    belief = alpha * beta
+    belief /= belief.sum(axis=2, keepdims=True)
+    return belief, u, alpha, beta
 
 
 def weak_labels(text: str, toks: list) -> np.ndarray:
@@ -167,7 +198,7 @@ def weak_labels(text: str, toks: list) -> np.ndarray:
     return y
 
 
-def train(texts: list[str], epochs: int = 4, rate: float = 0.3, batch: int = 64, decay: float = 1e-5, seed: int = 5) -> Field:
+def train(texts: list[str], epochs: int = 3, rate: float = 0.3, batch: int = 64, decay: float = 1e-5, seed: int = 5) -> Field:
     """Maximum likelihood of the weak labels under the chain, by stochastic gradients."""
     field, reader = Field(), Reader()
     docs = []
@@ -176,7 +207,7 @@ def train(texts: list[str], epochs: int = 4, rate: float = 0.3, batch: int = 64,
         toks, kinds, words = reader(text)
         if len(toks):
             y = weak_labels(text, toks)
-            docs.append((toks, kinds, words, y, features(kinds, words)))
+            docs.append((toks, kinds, words, y))
             for i, j in skip_edges(toks):
                 same = (y[i] in (B, I)) == (y[j] in (B, I))
                 agree, apart = agree + same, apart + (not same)
@@ -189,26 +220,24 @@ def train(texts: list[str], epochs: int = 4, rate: float = 0.3, batch: int = 64,
         chunks = [order[i : i + batch] for i in range(0, len(order), batch)]
         for c in rng.permutation(len(chunks)):
             part = [docs[i] for i in chunks[c]]
-            unary, mask = _pad([d[:3] for d in part], field)
             step = field.step + STEP
-            belief, alpha, beta = marginals(unary, step)
-            p = np.exp(belief)
-            size = unary.shape[1]
-            grad, grad_step = np.zeros_like(p), np.zeros_like(STEP)
-            z = _lse(alpha[:, -1], 1)
-            for i, d in enumerate(part):
-                n = len(d[0])
-                grad[i, :n] = -p[i, :n]
-                grad[i, np.arange(n), d[3]] += 1
+            unary = _pad(part, field)
+            p, u, alpha, beta = marginals(unary, step)
+            lengths = np.array([len(d[0]) for d in part])
+            move = np.exp(step)
+            grad_step = np.zeros_like(STEP)
+            for d in part:
                 np.add.at(grad_step, (d[3][:-1], d[3][1:]), 1.0)
-            for t in range(1, size):
-                both = alpha[:, t - 1][:, :, None] + step[None] + (unary[:, t] + beta[:, t])[:, None, :] - z[:, None, None]
-                grad_step -= (np.exp(both) * mask[:, t][:, None, None]).sum(axis=0)
-            rows = np.concatenate([d[4] for d in part])
-            flat = np.concatenate([grad[i, : len(d[0])] for i, d in enumerate(part)])
+            for t in range(1, unary.shape[1]):
+                both = alpha[:, t - 1][:, :, None] * move[None] * (u[:, t] * beta[:, t])[:, None, :]
+                both /= both.sum(axis=(1, 2), keepdims=True)
+                grad_step -= both[lengths > t].sum(axis=0)
+            kinds, words, starts = joined(part)
+            rows = features(kinds, words)[np.concatenate([np.arange(s, s + n) for s, n in zip(starts, lengths, strict=True)])]
+            flat = -np.concatenate([p[i, :n] for i, n in enumerate(lengths)])
+            flat[np.arange(len(flat)), np.concatenate([d[3] for d in part])] += 1
             used, back = np.unique(rows, return_inverse=True)
-            total = np.zeros((len(used), len(LABELS)), np.float32)
-            np.add.at(total, back.reshape(-1), np.repeat(flat, rows.shape[1], axis=0))
+            total = np.stack([np.bincount(back.reshape(-1), np.repeat(flat[:, k], rows.shape[1]), len(used)) for k in range(len(LABELS))], axis=1).astype(np.float32)
             total -= decay * field.w[used]
             power[used] += total**2
             field.w[used] += rate * total / np.sqrt(power[used])
@@ -217,36 +246,37 @@ def train(texts: list[str], epochs: int = 4, rate: float = 0.3, batch: int = 64,
     return field
 
 
-def infer(docs: list[tuple[list, np.ndarray, np.ndarray]], field: Field, rounds: int = 3) -> list[np.ndarray]:
-    """Labels of greatest marginal, with loopy messages over the skip edges."""
-    unary, mask = _pad(docs, field)
+def infer(docs: list, field: Field, edges: list[list[tuple[int, int]]], rounds: int = 3) -> list[np.ndarray]:
+    """Labels of greatest marginal, with loopy messages over the skip edges of each text."""
+    unary = _pad(docs, field)
     step = field.step + STEP
-    belief, _, _ = marginals(unary, step)
-    edges = [(d, i, j) for d, doc in enumerate(docs) for i, j in skip_edges(doc[0])]
-    if edges and field.skip > 0:
-        d, i, j = (np.array(x) for x in zip(*edges, strict=True))
+    belief = marginals(unary, step)[0]
+    flat = [(d, i, j) for d, es in enumerate(edges) for i, j in es]
+    if flat and field.skip > 0:
+        d, i, j = np.array(flat).T
         names = np.isin(np.arange(len(LABELS)), (B, I))
         bond = np.where(names[:, None] == names[None, :], field.skip, 0.0)
         to_j, to_i = np.zeros((len(d), len(LABELS))), np.zeros((len(d), len(LABELS)))
-        rows = np.unique(d)
-        place = {r: n for n, r in enumerate(rows)}
-        dd = np.array([place[x] for x in d])
+        rows, dd = np.unique(d, return_inverse=True)
         for _ in range(rounds):
-            b = belief[rows]
+            b = np.log(belief[rows] + 1e-30)
             to_j, to_i = _lse((b[dd, i] - to_i)[:, :, None] + bond[None], 1), _lse((b[dd, j] - to_j)[:, :, None] + bond[None], 1)
             to_j -= _lse(to_j, 1)[:, None]
             to_i -= _lse(to_i, 1)[:, None]
-            more = unary[rows].copy()
+            more = unary[rows].astype(float)
             np.add.at(more, (dd, j), to_j)
             np.add.at(more, (dd, i), to_i)
             belief[rows] = marginals(more, step)[0]
     best = belief.argmax(axis=2)
-    return [best[n, : len(doc[0])] for n, doc in enumerate(docs)]
+    return [best[n, : len(doc[1])] for n, doc in enumerate(docs)]
 
 
 def spans_of(toks: list, y: np.ndarray) -> list[tuple[int, int, str]]:
-    out = []
-    at = 0
+    out: list[tuple[int, int, str]] = []
+    marked = np.flatnonzero(y)
+    if not len(marked):
+        return out
+    at, y = int(marked[0]), y.tolist()
     while at < len(toks):
         label = y[at]
         if label in TYPES:
@@ -267,35 +297,47 @@ def spans_of(toks: list, y: np.ndarray) -> list[tuple[int, int, str]]:
 
 
 def _runs(texts: list[str], field: Field, budget: int = 40_000) -> Iterator[tuple[int, list]]:
-    """Spans of each text, inferred in groups of like length that keep the arrays small."""
+    """Spans of each text. Texts that look alike to the field are inferred once, in groups of
+    like length that keep the arrays small."""
     reader = Reader()
-    read = [reader(t) for t in texts]
-    order = sorted(range(len(texts)), key=lambda i: len(read[i][0]))
+    alike: dict[tuple, list[int]] = {}
+    read = []
+    for n, t in enumerate(texts):
+        toks, kinds, words = reader(t)
+        read.append(toks)
+        if toks:
+            edges = skip_edges(toks)
+            alike.setdefault((kinds.tobytes(), words.tobytes(), tuple(edges)), []).append(n)
+        else:
+            yield n, []
+    forms = sorted(alike.items(), key=lambda x: len(x[0][0]))
     at = 0
-    while at < len(order):
+    while at < len(forms):
         end = at
-        while end < len(order) and (end - at + 1) * max(1, len(read[order[end]][0])) <= budget:
+        while end < len(forms) and (end - at + 1) * len(forms[end][0][0]) // 8 <= budget:
             end += 1
-        end = max(end, at + 1)
-        group = order[at:end]
-        filled = [i for i in group if len(read[i][0])]
-        labels = infer([read[i] for i in filled], field) if filled else []
-        found = {i: spans_of(read[i][0], y) for i, y in zip(filled, labels, strict=True)}
-        for i in group:
-            yield i, found.get(i, [])
-        at = end
+        group = forms[at : max(end, at + 1)]
+        docs = [(None, np.frombuffer(k, np.int64), np.frombuffer(w, np.int64)) for (k, w, _), _ in group]
+        for (_, members), y in zip(group, infer(docs, field, [key[2] for key, _ in group]), strict=True):
+            for n in members:
+                yield n, spans_of(read[n], y)
+        at += len(group)
 
 
-def train_on(texts: DataFrame, train_texts: int = 24_000, labelled: int = 4000, plain: int = 2000) -> Field:
+def train_on(texts: DataFrame, train_texts: int = 16_000, labelled: int = 3000, plain: int = 1500) -> Field:
     """A field trained on a bounded sample: of ``train_texts`` texts, taken by a hash of their
     content, the first ``labelled`` with a weak label and the first ``plain`` without one."""
-    rows = texts.select("text").where("text is not null and text <> '' and length(text) <= 2000").distinct().orderBy(F.xxhash64("text"), "text").limit(train_texts).collect()
+    usable = texts.select("text").where("text is not null and text <> '' and length(text) <= 2000")
+    part = min(1.0, 1.2 * train_texts / max(1, usable.count()))
+    low = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(part * (1 << 20))
+    rows = sorted({r.text for r in usable.where(low).select("text").limit(2 * train_texts).collect()})[:train_texts]
+    rows.sort(key=hashed)
     reader, some, none = Reader(), [], []
-    for r in rows:
-        if len(some) < labelled and weak_labels(r.text, reader(r.text)[0]).any():
-            some.append(r.text)
+    for text in rows:
+        if len(some) < labelled and weak_labels(text, reader(text)[0]).any():
+            some.append(text)
         elif len(none) < plain:
-            none.append(r.text)
+            none.append(text)
     return train(some + none)
 
 
