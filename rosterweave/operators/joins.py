@@ -6,8 +6,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from rosterweave.storage import cut
+
 BROADCAST_BYTES = 8 << 20
-SALTS = 16
+HOT_ROWS = 50_000
 
 
 def _width(df: DataFrame) -> Column:
@@ -34,15 +36,26 @@ def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], spread: str, how: str = "left", limit: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", limit: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Join ``rows`` to ``lookup``, which has at most one row for each key.
 
-    A lookup of at most ``limit`` measured bytes is broadcast. A larger one is joined on the
-    key and a salt taken from column ``spread`` of the rows, so that a key which holds a
-    third of all rows is served by ``salts`` tasks; the lookup is repeated once per salt.
+    A lookup of at most ``limit`` measured bytes is broadcast. With a larger one, rows of hot
+    keys (more than ``hot_rows`` rows and a thousandth of all, so a thousand keys at most) meet
+    their part of the lookup by broadcast, the others by a shuffle, and rows with a null key
+    by neither; so no task gets the rows of a key that holds a third of them.
     """
     if measured_bytes(lookup) <= limit:
         return rows.join(F.broadcast(lookup), keys, how)
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    counts = rows.groupBy(*keys).count()
+    hot = cut(counts.where(F.col("count") > max(hot_rows, rows.count() // 1000)).select(*keys), "hot")
+    null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    out = rows.where(~null)
+    if hot.isEmpty():
+        out = out.join(lookup, keys, how)
+    else:
+        few = F.broadcast(hot)
+        cold = out.join(few, keys, "left_anti").join(lookup, keys, how)
+        out = cold.unionByName(out.join(few, keys, "left_semi").join(F.broadcast(lookup.join(few, keys, "left_semi")), keys, how))
+    if how == "left":
+        out = out.unionByName(rows.where(null), allowMissingColumns=True)
+    return out

@@ -157,7 +157,7 @@ def split_values(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = df.select(F.col(id_col).alias("_id"), F.regexp_extract_all(F.col(text_col), F.lit(f"({RUN})"), F.lit(1)).alias("_runs")).where(F.size("_runs") > 0)
     rows = rows.withColumn("skeleton", F.array_join(F.transform("_runs", _mark), ""))
     rules = cut(rows.select("skeleton").distinct().mapInPandas(_resolve, f"skeleton string, rule {VALUE_RULE}"), "rules")
-    joined = lookup_join(rows, rules, ["skeleton"], "_id", "inner")
+    joined = lookup_join(rows, rules, ["skeleton"], "inner")
     pieces = joined.select("_id", "_runs", F.posexplode("rule").alias("_pos", "_r"))
     value = F.array_join(F.slice("_runs", F.col("_r.first"), F.col("_r.n")), "")
     value = F.when(F.col("_r.doubled"), F.regexp_replace(value, '""', '"')).otherwise(value)

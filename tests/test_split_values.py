@@ -40,13 +40,17 @@ def test_long_text_and_repeats(spark):
     assert rows.where("id = 2").count() == 4
 
 
-def test_large_rule_table_is_joined_without_broadcast(spark, monkeypatch):
-    from rosterweave.operators import joins
-
-    rows = spark.createDataFrame([(i, "a" if i % 3 else f"k{i}") for i in range(300)], "id long, k string")
-    table = rows.select("k").distinct().selectExpr("k", "length(k) as n")
-    want = sorted(map(tuple, joins.lookup_join(rows, table, ["k"], "id").collect()))
-    assert sorted(map(tuple, joins.lookup_join(rows, table, ["k"], "id", limit=0).collect())) == want
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_joins_agree(spark, how):
+    from rosterweave.operators.joins import lookup_join
+
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else "a" if i % 3 else f"k{i}") for i in range(300)], "id long, k string")
+    table = rows.where("k is not null and id % 2 = 0").select("k").distinct().selectExpr("k", "length(k) as n")
+    show = lambda df: sorted(map(repr, df.select("id", "k", "n").collect()))
+    want = show(rows.join(table, "k", how))
+    assert show(lookup_join(rows, table, ["k"], how)) == want
+    assert show(lookup_join(rows, table, ["k"], how, limit=0)) == want
+    assert show(lookup_join(rows, table, ["k"], how, limit=0, hot_rows=20)) == want
 
 
 @pytest.mark.parametrize("schema", ["id long, text string"])
