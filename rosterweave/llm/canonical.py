@@ -165,7 +165,7 @@ def map_values(values: DataFrame, entries: DataFrame, threshold: float = 0.62, u
     units = cut(values.mapInPandas(_parse, "kind string, value string, segment int, n int, unit string, at int, span int"), "units")
     near = cut(repair(units.select("kind", "unit").distinct(), words), "repaired")
 
-    met = lookup_join(units, near.groupBy("kind", "unit").agg(F.collect_list(F.struct("token", "sim")).alias("near")), ["kind", "unit"], "value", "inner")
+    met = lookup_join(units, near.groupBy("kind", "unit").agg(F.collect_list(F.struct("token", "sim")).alias("near")), ["kind", "unit"], "inner")
     met = met.select("kind", "value", "segment", "n", "at", "span", F.explode("near").alias("m")).select("*", "m.token", "m.sim")
     hits = met.join(bounded_broadcast(vocab), ["kind", "token"])
     seg = ["kind", "value", "segment", "n", "phrase", "entry_id", "norm2", "label"]
@@ -188,4 +188,4 @@ def map_records(records: DataFrame, entries: DataFrame, **options) -> DataFrame:
     labels = entries.select("kind", F.col("label").alias("value")).distinct()
     cases = cut(records.select("kind", "record_id", "value").where("value is not null").join(F.broadcast(labels), ["kind", "value"], "left_anti"), "cases")
     mapped = cut(map_values(cases.select("kind", "value"), entries, **options).select("kind", "value", "entry_id"), "mapped")
-    return lookup_join(cases, mapped, ["kind", "value"], "record_id", "inner").select("kind", "record_id", "entry_id")
+    return lookup_join(cases, mapped, ["kind", "value"], "inner").select("kind", "record_id", "entry_id")

@@ -172,7 +172,7 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
     offset = counted.select("spec_id", "size", "b", (F.sum("count").over(Window.partitionBy("spec_id", "size").orderBy("b")) - F.col("count")).alias("start"))
     ranked = rest.where("size > 0").withColumn("_n", F.row_number().over(Window.partitionBy("spec_id", "size", "b").orderBy("_id")) - 1)
     ranked = ranked.join(offset, ["spec_id", "size", "b"]).withColumn("rank", F.col("start") + F.col("_n"))
-    placed = lookup_join(ranked, slots, ["spec_id", "size"], "_id", "inner")
+    placed = lookup_join(ranked, slots, ["spec_id", "size"], "inner")
     slot = F.get(F.filter("slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["first"] + s["n"])), F.lit(0))
     placed = placed.withColumn("_s", slot)
     placed = placed.select("spec_id", F.col("_id").alias(id_col), "piece", (F.col("piece").cast("long") * F.col("capacity")).alias("first_token"), F.col("size").cast("long").alias("n_tokens"), (F.col("_s.base") + F.col("rank") - F.col("_s.first")).cast("long").alias("container_id"))

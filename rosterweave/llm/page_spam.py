@@ -141,7 +141,7 @@ def find_spam(docs: DataFrame, train_rows: int = 20_000, smoothing: float = 0.15
     pages = cut(measured.mapInPandas(score, f"doc_id {dict(docs.dtypes)['doc_id']}, site string, p double"), "pages")
     mean = pages.agg(F.coalesce(F.avg("p"), F.lit(0.0))).first()[0]
     hosts = cut(pages.where("site is not null").groupBy("site").agg(F.sum("p").alias("_sum"), F.count("*").alias("_n")), "hosts")
-    joined = lookup_join(pages, hosts, ["site"], "doc_id", "left")
+    joined = lookup_join(pages, hosts, ["site"], "left")
     clip = lambda c: F.greatest(F.least(c, F.lit(0.995)), F.lit(0.005))
     logit = lambda c: F.log(c / (1 - c))
     others = (F.col("_sum") - F.col("p") + prior_pages * mean) / (F.col("_n") - 1 + prior_pages)

@@ -41,8 +41,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of the same person with their confidence."""
-    number = lambda c: F.substring(c, 2, 30).cast("long")
-    return _matches(spark, sf_dir).select(number(F.col("left")).alias("rec_id"), number(F.col("right")).alias("profile_id"), "confidence")
+    return _matches(spark, sf_dir).select(F.shiftright("left", 1).alias("rec_id"), F.shiftright("right", 1).alias("profile_id"), "confidence")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
