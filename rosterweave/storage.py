@@ -7,6 +7,8 @@ costs a re-read and never a recomputation of the loop.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,7 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
         return conf.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    made = "file://" + tempfile.mkdtemp(prefix="rosterweave-")
+    folder = tempfile.mkdtemp(prefix="rosterweave-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    made = "file://" + folder
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 
