@@ -15,6 +15,7 @@ NAME_WORD = r"[^\W\d_a-zà-öø-ÿ][^\W\d_]+(?:['’-][^\W\d_]+)*"
 KINDS = ("email", "address", "id_four", "id_pan", "id_nino", "id_passport", "id_ssn", "phone_wide", "phone", "phone_bare", "number", "initial", "word", "mark")
 # plain words first, unless an address may go on behind them
 _LOWER = r"(?P<lower>[a-zà-öø-ÿ]{2,}(?=[ ,;:]\s?(?![@\[(]|at\s))(?![ ]?[@\[(]))"
+_CAPITAL = r"(?P<capital>(?!(?:Calle|Flat|Apt|Unit|Suite|Apartment)\b)[A-ZÀ-ÖØ-Ý][a-zà-öø-ÿ]+(?=[ ,;:]\s?(?![@\[(\d]|at\s))(?![ ]?[@\[(]))"
 _EMAIL = r"(?P<email>(?<![\w.+'-])[\w.+'-]*\w(?:\s?@\s?|\s?\[at\]\s?|\s?\(at\)\s?)[\w-]+(?:(?:\.|\s?\[dot\]\s?|\s?\(dot\)\s?|\sdot\s)[\w-]+)+|(?<![\w.+'-])[\w.+'-]*\w\sat\s[\w-]+(?:\sdot\s[\w-]+)+)"
 _ADDRESS = rf"(?P<address>(?<!\w){FLAT}(?:\d+[a-z]?\s(?:rue\s{NAME_WORD}|(?:{NAME_WORD}\s){{1,3}}{STREET}(?!\w))|Calle\s{NAME_WORD}\s\d+[a-z]?|[^\W\d_a-zà-öø-ÿ](?=\w+\s\d)\w+?(?:straße|strasse|gasse|weg|allee|platz)\s\d+[a-z]?)(?!\d){UNIT})"
 _IDS = (
@@ -30,8 +31,8 @@ _PHONES = (
     r"|(?P<phone_bare>(?<![\w+-])1?[2-9]\d{9}(?:\s(?:x|ext\.?)\s?\d{1,5})?(?![\w-]))"
 )
 _REST = r"(?P<number>\d+(?:[.,:/-]\d+)*)|(?P<initial>(?<!\w)[^\W\d_a-z]\.(?![^\W\d_]\.))|(?P<word>[^\W\d_]+(?:['’-][^\W\d_]+)*)|(?P<line>[^\S\n]*\n\s*)|(?P<mark>[^\s])"
-TOKEN_PLAIN = re.compile("|".join((_LOWER, _ADDRESS, _IDS, _PHONES, _REST)))
-TOKEN = re.compile("|".join((_LOWER, _EMAIL, _ADDRESS, _IDS, _PHONES, _REST)))
+TOKEN_PLAIN = re.compile("|".join((_LOWER, _CAPITAL, _ADDRESS, _IDS, _PHONES, _REST)))
+TOKEN = re.compile("|".join((_LOWER, _CAPITAL, _EMAIL, _ADDRESS, _IDS, _PHONES, _REST)))
 SHAPES = ("lower", "capital", "capitals", "one")
 
 
@@ -54,7 +55,7 @@ def tokens_of(text: str) -> list[tuple[str, int, int, str]]:
         if kind == "word":
             word = text[a:b]
             out.append((shape(word), a, b, word))
-        elif kind == "lower" or kind == "mark":
+        elif kind == "lower" or kind == "capital" or kind == "mark":
             out.append((kind, a, b, text[a:b]))
         else:
             out.append((kind, a, b, kind))
