@@ -18,7 +18,6 @@ from rosterweave.llm import name_parts as parts
 from rosterweave.llm.linkage import cluster
 from rosterweave.llm.canonical import near_texts
 from rosterweave.llm.ngrams import linked
-from rosterweave.operators.joins import lookup_join
 from rosterweave.storage import cut
 
 LEXICONS = {"company": parts.LINES, "institution": parts.SCHOOLS}
@@ -40,13 +39,6 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["kind", "name", "cls", "text", "nick"])
 
 
-def organisation_texts(names: DataFrame, kind: str) -> DataFrame:
-    """``names(rid, name)`` with ``text``, what tells an organisation from others whatever its
-    line and legal form; stand-ins are left out. Distinct names are read once."""
-    read = cut(names.select(F.lit(kind).alias("kind"), "name").distinct().mapInPandas(_read, "kind string, name string, cls string, text string, nick string").select("name", "text"), "texts")
-    return lookup_join(names, read, ["name"], "inner").select("rid", "text")
-
-
 def nickname_table() -> list[tuple[str, str]]:
     return [(n.lower(), given.lower()) for given, names in (p.strip().split(": ") for p in parts.NICKNAMES.split(";")) for n in names.split(" ")]
 
