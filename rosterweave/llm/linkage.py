@@ -1,22 +1,24 @@
 """Average-linkage clustering of a thresholded similarity graph.
 
-Clusters cannot reach beyond a connected component of the graph. A component of two is
-decided by its link. Components up to a bound are clustered each as a dense matrix, many
-to a task. A larger one is merged in rounds by joins: all pairs of clusters that are each
-other's nearest by average similarity merge at once, which for average linkage gives the
-same tree as merging the nearest pair first, and no component is gathered anywhere.
+Clusters cannot reach beyond a connected component of the graph. The similarity of two
+members, linked or not, is the cosine over all their grams. Components up to a bound are
+clustered each as a dense matrix, many to a task. A larger one is merged in rounds by
+joins: all pairs of clusters that are each other's nearest by average similarity merge at
+once, which for average linkage gives the same tree as merging the nearest pair first, and
+no component is gathered anywhere. The average similarity of two clusters is the product
+of the sums of their unit vectors, divided by their sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from rosterweave.llm.components import components
-from rosterweave.llm.ngrams import Weights, shared
+from rosterweave.llm.ngrams import GRAMS, Weights, cosine_links, shared
 from rosterweave.storage import cut, discard
 
 
@@ -60,9 +62,17 @@ def average_linkage(sim: np.ndarray, threshold: float) -> np.ndarray:
 
 def _dense(held, threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame]:  # noqa: ANN001
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        weights, out = Weights(held.value), []
-        for _, part in rows.groupby("comp", sort=False):
-            nodes, vecs = part["id"].to_numpy(), [weights.vector(t) for t in part["text"]]
+        weights, rows = Weights(held.value), rows.sort_values("comp", kind="stable")
+        ids, texts, comp = rows["id"].to_numpy(), rows["text"].tolist(), rows["comp"].to_numpy()
+        out = ids.copy()
+        bounds = [0, *(np.flatnonzero(comp[1:] != comp[:-1]) + 1).tolist(), len(ids)]
+        for start, end in zip(bounds, bounds[1:], strict=False):
+            nodes, vecs = ids[start:end], [weights.vector(t) for t in texts[start:end]]
+            if len(nodes) == 2:
+                x = {g: w for w, g in vecs[0]}
+                if sum(w * x.get(g, 0.0) for w, g in vecs[1]) >= threshold:
+                    out[start:end] = nodes.min()
+                continue
             index: dict[int, int] = {}
             x = np.zeros((len(nodes), len({g for v in vecs for _, g in v})))
             for i, v in enumerate(vecs):
@@ -70,16 +80,35 @@ def _dense(held, threshold: float) -> Callable[[pd.DataFrame], pd.DataFrame]:  #
                     x[i, index.setdefault(g, len(index))] = w
             owner = average_linkage(x @ x.T, threshold)
             low = {c: nodes[owner == c].min() for c in set(owner)}
-            out.append(pd.DataFrame({"id": nodes, "cluster": [low[c] for c in owner]}))
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "cluster": []})
+            out[start:end] = [low[c] for c in owner]
+        return pd.DataFrame({"id": ids, "cluster": out})
 
     return run
 
 
-def _by_rounds(links: DataFrame, threshold: float, max_rounds: int = 200) -> DataFrame:
-    """``(id, cluster)`` of ``links(a, b, sim)``; pairs that are not linked have similarity 0."""
-    nodes = links.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    member = cut(nodes.select("id", F.col("id").alias("cluster")), "member")
+def _vectors(nodes: DataFrame, weights: Weights) -> DataFrame:
+    """``(id, gram, x)``: the coordinates of the unit vectors of ``nodes(id, text)``."""
+    held = shared(weights)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = Weights(held.value)
+        for batch in batches:
+            rows = [(i, g, x) for i, text in zip(batch["id"], batch["text"], strict=True) for x, g in w.vector(text)]
+            yield pd.DataFrame(rows, columns=["id", "gram", "x"])
+
+    return nodes.select("id", "text").mapInPandas(run, "id long, gram long, x double")
+
+
+def _by_rounds(links: DataFrame, threshold: float, vectors: DataFrame | None = None, max_rounds: int = 200) -> DataFrame:
+    """``(id, cluster)`` of ``links(a, b, sim)``; pairs that are not linked have similarity 0.
+
+    With ``vectors``, a cut table ``(id, gram, x)`` of unit vectors, every pair has the cosine
+    of its vectors, and ``links`` are all pairs of one component from ``threshold`` on. They
+    suffice to start from: a merged cluster is never nearer to another than the nearer of its
+    parts, so a pair of clusters at the threshold stems from a pair at the threshold.
+    """
+    nodes = links.select(F.explode(F.array("a", "b")).alias("id")) if vectors is None else vectors.select("id")
+    member = cut(nodes.distinct().select("id", F.col("id").alias("cluster")), "member")
     between = cut(links.select("a", "b", F.col("sim").alias("total")), "between")
     for _ in range(max_rounds):
         size = member.groupBy("cluster").count()
@@ -93,11 +122,18 @@ def _by_rounds(links: DataFrame, threshold: float, max_rounds: int = 200) -> Dat
         if merge.isEmpty():
             return member
         moved = cut(member.join(merge, "cluster", "left").select("id", F.coalesce("into", "cluster").alias("cluster")), "member")
-        step = between
+        step = between if vectors is None else mean.select("a", "b", "total")
         for end in ("a", "b"):
             step = step.join(merge.select(F.col("cluster").alias(end), F.col("into").alias("_i")), end, "left").withColumn(end, F.coalesce("_i", end)).drop("_i")
-        joined = cut(step.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total")), "between")
+        step = step.where("a <> b").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("total").alias("total"))
+        if vectors is not None:
+            sums = cut(moved.join(vectors, "id").groupBy("cluster", "gram").agg(F.sum("x").alias("x")), "sums")
+            of = lambda end: sums.select(F.col("cluster").alias(end), "gram", F.col("x").alias(f"x{end}"))
+            step = step.select("a", "b").join(of("a"), "a").join(of("b"), ["b", "gram"]).groupBy("a", "b").agg(F.sum(F.col("xa") * F.col("xb")).alias("total"))
+        joined = cut(step, "between")
         discard(member), discard(between), discard(merge)
+        if vectors is not None:
+            discard(sums)
         member, between = moved, joined
     raise RuntimeError(f"linkage did not settle in {max_rounds} rounds")
 
@@ -111,12 +147,13 @@ def cluster(nodes: DataFrame, weights: Weights, links: DataFrame, threshold: flo
     comp = cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("id"), F.col("group_id").alias("comp")), "comp")
     sized = cut(comp.groupBy("comp").count(), "sizes")
     total, most = sized.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
-    pairs = comp.join(sized.where("count = 2"), "comp").select("id", F.col("comp").alias("cluster"))
-    middle = comp.join(sized.where(F.col("count").between(3, dense_nodes)), "comp").join(nodes.select("id", "text"), "id")
+    texts = nodes.select("id", "text")
+    middle = comp.join(sized.where(F.col("count") <= dense_nodes), "comp").join(texts, "id")
     tasks = max(12, total // nodes_per_task)
-    dense = middle.select("id", "text", "comp", F.pmod(F.xxhash64("comp"), F.lit(tasks)).alias("_t")).groupBy("_t").applyInPandas(_dense(shared(weights), threshold), "id long, cluster long")
-    out = pairs.unionByName(dense)
+    out = middle.select("id", "text", "comp", F.pmod(F.xxhash64("comp"), F.lit(tasks)).alias("_t")).groupBy("_t").applyInPandas(_dense(shared(weights), threshold), "id long, cluster long")
     if most > dense_nodes:
-        large = comp.join(sized.where(F.col("count") > dense_nodes), "comp").select(F.col("id").alias("a"))
-        out = out.unionByName(_by_rounds(cut(links.join(large, "a"), "large"), threshold))
+        large = comp.join(sized.where(F.col("count") > dense_nodes), "comp").join(texts, "id")
+        large = cut(large.select("id", F.col("comp").cast("string").alias("block"), "text"), "large")
+        near = cut(cosine_links(large, weights, threshold, sizes=GRAMS, gate=False), "near")
+        out = out.unionByName(_by_rounds(near, threshold, cut(_vectors(large, weights), "vectors")))
     return out

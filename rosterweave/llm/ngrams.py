@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rosterweave.storage import cut
 
 BUCKETS = 1 << 18
+GRAMS = (2, 3)
 LINK_GRAMS = (3,)
 
 
-def gram_buckets(text: str, sizes: tuple[int, ...] = (2, 3)) -> list[int]:
+def gram_buckets(text: str, sizes: tuple[int, ...] = GRAMS) -> list[int]:
     """Buckets of the distinct grams of a text with marked ends."""
     t = f"^{text}$"
     return sorted({zlib.crc32(t[i : i + k].encode()) % BUCKETS for k in sizes for i in range(max(1, len(t) - k + 1))})
@@ -37,7 +38,7 @@ class Weights:
             w[bucket] = 1 + math.log(max(1.0, total / n)) / math.log(max(2, total))
         return Weights(w)
 
-    def vector(self, text: str, sizes: tuple[int, ...] = (2, 3)) -> list[tuple[float, int]]:
+    def vector(self, text: str, sizes: tuple[int, ...] = GRAMS) -> list[tuple[float, int]]:
         """``(weight, bucket)`` of unit length, heaviest first."""
         raw = [(float(self.w[b]), b) for b in gram_buckets(text, sizes)]
         norm = math.sqrt(sum(w * w for w, _ in raw))
@@ -57,7 +58,7 @@ def gram_weights(nodes: DataFrame) -> Weights:
     return Weights.counted({r.b: r.n for r in rows}, nodes.count())
 
 
-def cosine(weights: Weights):  # noqa: ANN201
+def cosine(weights: Weights, sizes: tuple[int, ...] = LINK_GRAMS):  # noqa: ANN201
     """Column function of two texts."""
     held = shared(weights)
 
@@ -68,7 +69,7 @@ def cosine(weights: Weights):  # noqa: ANN201
 
         def vec(t: str) -> dict[int, float]:
             if t not in known:
-                known[t] = {g: x for x, g in w.vector(t, LINK_GRAMS)}
+                known[t] = {g: x for x, g in w.vector(t, sizes)}
             return known[t]
 
         out = []
@@ -89,10 +90,10 @@ def shared(weights: Weights):  # noqa: ANN201
     return SparkSession.getActiveSession().sparkContext.broadcast(weights.w)
 
 
-def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Column | None = None) -> DataFrame:
+def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Column | None = None, sizes: tuple[int, ...] = LINK_GRAMS, gate: bool = True) -> DataFrame:
     """``(a, b, sim)``: all pairs of nodes of one block, a < b, with a cosine of at least
-    ``threshold`` over three-grams, and at most one edit and a third of the longer text
-    between them. ``nodes`` is a cut table ``(id, block, text)`` with ids of type long.
+    ``threshold`` over grams of ``sizes``, and with ``gate`` at most one edit and a third of
+    the longer text between them. ``nodes`` is a cut table ``(id, block, text)`` with ids of type long.
 
     A pair at the threshold shares a gram of the heaviest part of one vector whose rest has a
     norm below the threshold; only that part is posted, which leaves the common grams out
@@ -107,7 +108,7 @@ def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Col
             ids, keys, texts = [], [], []
             for i, block, text in zip(batch["id"], batch["block"], batch["text"], strict=True):
                 start, mass = zlib.crc32(block.encode()) << 18, 0.0
-                for x, bucket in w.vector(text, LINK_GRAMS):
+                for x, bucket in w.vector(text, sizes):
                     ids.append(i), keys.append(start | bucket), texts.append(text)
                     mass += x * x
                     if mass > 1 - threshold**2 + 1e-9:
@@ -117,11 +118,13 @@ def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Col
     posted = nodes.select("id", "block", "text").mapInPandas(post, "key long, id long, text string")
     left = posted.select("key", F.col("id").alias("a"), F.col("text").alias("ta"))
     right = posted.select("key", F.col("id").alias("b"), F.col("text").alias("tb"))
-    met = left.join(right, "key").where("a < b and abs(length(ta) - length(tb)) <= 1 + greatest(length(ta), length(tb)) div 3").where("levenshtein(ta, tb, 1 + greatest(length(ta), length(tb)) div 3) >= 0")
+    met = left.join(right, "key").where("a < b")
+    if gate:
+        met = met.where("abs(length(ta) - length(tb)) <= 1 + greatest(length(ta), length(tb)) div 3").where("levenshtein(ta, tb, 1 + greatest(length(ta), length(tb)) div 3) >= 0")
     if keep is not None:
         met = met.where(keep)
     pairs = met.select("a", "b", "ta", "tb").distinct()
-    return pairs.withColumn("sim", cosine(weights)("ta", "tb")).where(F.col("sim") >= threshold).select("a", "b", "sim")
+    return pairs.withColumn("sim", cosine(weights, sizes)("ta", "tb")).where(F.col("sim") >= threshold).select("a", "b", "sim")
 
 
 def linked(nodes: DataFrame, threshold: float) -> tuple[Weights, DataFrame]:
