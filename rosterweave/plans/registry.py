@@ -169,6 +169,19 @@ def merge_links(spark: SparkSession, d: str) -> DataFrame:
     return M.merge(_address_clusters(spark, d)).select("cluster_id", *[F.col(f"links.{k}").alias(k) for k in M.LINKS])
 
 
+def cluster_scalars(spark: SparkSession, d: str) -> DataFrame:
+    """As ``merge_scalars``, over the resolved clusters, which SQL does not express."""
+    return _merged(spark, d).select("cluster_id", "n", *M.SCALARS)
+
+
+def cluster_sources(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(spark, d).select("cluster_id", _joined("merged_sources"))
+
+
+def cluster_links(spark: SparkSession, d: str) -> DataFrame:
+    return _merged(spark, d).select("cluster_id", *[F.col(f"links.{k}").alias(k) for k in M.LINKS])
+
+
 def merge_blocks(spark: SparkSession, d: str) -> DataFrame:
     m = _merged(spark, d)
     return m.select("cluster_id", F.size("experience").alias("jobs"), F.size("education").alias("schools"))
@@ -244,6 +257,7 @@ def queries() -> dict[str, Query]:
         "extract_emails": extract_emails, "extract_phones": extract_phones, "extract_links": extract_links, "split_sections": split_sections, "resume_records": resumes,
         "email_edges": email_edges, "match_reasons": match_reasons, "email_clusters": email_clusters, "clusters": clusters, "cluster_sizes": cluster_sizes,
         "merge_scalars": merge_scalars, "merge_lists": merge_lists, "merged_sources": merged_sources, "merge_links": merge_links, "merge_blocks": merge_blocks,
+        "cluster_scalars": cluster_scalars, "cluster_sources": cluster_sources, "cluster_links": cluster_links,
         "provenance": provenance, "provenance_detail": provenance_detail, "provenance_summary": provenance_summary, "skill_confidence": skill_confidence, "overall_confidence": overall_confidence,
         "candidate_id": candidate_ids, "profiles": profiles_built, "project_default": _projected(None), "project_custom": _projected(CUSTOM), "project_error": _projected(CUSTOM | {"on_missing": "error"}), "project_omit": project_omit,
         "valid_output": valid_output,

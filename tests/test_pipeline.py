@@ -151,3 +151,25 @@ def test_stream(spark, raw, tmp_path):
     stream = spark.readStream.schema(raw(EXPORT).schema).parquet(str(tmp_path / "in"))
     append_validated(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_merged_queries_cover_the_whole_clusters(spark, small):
+    from collections import defaultdict
+
+    from rosterweave.operators.merge import KIND, LINKS, SCALARS
+    from rosterweave.plans import registry
+
+    members = defaultdict(list)
+    for r in registry._clustered(spark, small).orderBy("record_ix").collect():
+        members[r.cluster_id].append(r)
+    assert any(r.email is None for rs in members.values() if len(rs) > 1 for r in rs)
+    first = lambda rs, c: next((r[c] for r in rs if r[c] is not None), None)
+    want = {"cluster_scalars": {}, "cluster_links": {}, "cluster_sources": {}}
+    for ix, rs in members.items():
+        preferred = {c: sorted(rs, key=lambda r, k=KIND[p]: r.source_type != k) for c, p in SCALARS.items()}
+        want["cluster_scalars"][ix] = (len(rs), *[first(preferred[c], c) for c in SCALARS])
+        want["cluster_links"][ix] = tuple(first(rs, c) for c in LINKS)
+        want["cluster_sources"][ix] = ("|".join(dict.fromkeys(r.source for r in rs)),)
+    for name, rows in want.items():
+        got = {r.cluster_id: tuple(r)[1:] for r in registry.queries()[name](spark, small).collect()}
+        assert got == rows, name
