@@ -154,6 +154,6 @@ def cluster(nodes: DataFrame, weights: Weights, links: DataFrame, threshold: flo
     if most > dense_nodes:
         large = comp.join(sized.where(F.col("count") > dense_nodes), "comp").join(texts, "id")
         large = cut(large.select("id", F.col("comp").cast("string").alias("block"), "text"), "large")
-        near = cut(cosine_links(large, weights, threshold, sizes=GRAMS, gate=False), "near")
+        near = cut(cosine_links(large, weights, threshold, sizes=GRAMS), "near")
         out = out.unionByName(_by_rounds(near, threshold, cut(_vectors(large, weights), "vectors")))
     return out

@@ -90,15 +90,15 @@ def shared(weights: Weights):  # noqa: ANN201
     return SparkSession.getActiveSession().sparkContext.broadcast(weights.w)
 
 
-def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Column | None = None, sizes: tuple[int, ...] = LINK_GRAMS, gate: bool = True) -> DataFrame:
+def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Column | None = None, sizes: tuple[int, ...] = LINK_GRAMS) -> DataFrame:
     """``(a, b, sim)``: all pairs of nodes of one block, a < b, with a cosine of at least
-    ``threshold`` over grams of ``sizes``, and with ``gate`` at most one edit and a third of
-    the longer text between them. ``nodes`` is a cut table ``(id, block, text)`` with ids of type long.
+    ``threshold`` over grams of ``sizes``, however many edits are between them. ``nodes`` is
+    a cut table ``(id, block, text)`` with ids of type long.
 
     A pair at the threshold shares a gram of the heaviest part of one vector whose rest has a
     norm below the threshold; only that part is posted, which leaves the common grams out
-    and loses no pair. A posting is a hash of block and gram with id and text, and a pair is
-    tested on its lengths and edits where it meets, so only near pairs are written.
+    and loses no pair. A posting is a hash of block and gram with id and text, so
+    that a pair is tested without another join.
     """
     held = shared(weights)
 
@@ -119,8 +119,6 @@ def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Col
     left = posted.select("key", F.col("id").alias("a"), F.col("text").alias("ta"))
     right = posted.select("key", F.col("id").alias("b"), F.col("text").alias("tb"))
     met = left.join(right, "key").where("a < b")
-    if gate:
-        met = met.where("abs(length(ta) - length(tb)) <= 1 + greatest(length(ta), length(tb)) div 3").where("levenshtein(ta, tb, 1 + greatest(length(ta), length(tb)) div 3) >= 0")
     if keep is not None:
         met = met.where(keep)
     pairs = met.select("a", "b", "ta", "tb").distinct()
