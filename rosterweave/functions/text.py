@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 LINE_END = r"\R"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often ``body`` names it, also
+    inside the functions of arrays, where nothing is shared between branches."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def pytrim(c: Column) -> Column:
     """Without any white space at both ends; Spark's trim knows only blanks."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -30,19 +37,29 @@ def keep_first_by(values: Column, key: Callable[[Column], Column]) -> Column:
     return F.filter(values, lambda x, i: F.array_position(keys, key(x)) == i + 1)
 
 
+def _lcs(a: str, b: str) -> int:
+    """Length of the longest common subsequence. Bit i of ``row`` is off where the length
+    grows at character i of ``a``; one addition carries a whole row of the table."""
+    if not a or not b:
+        return 0
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        hit = row & at.get(y, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
+
+
 def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence: one row of the table for each character of
-    ``a``, folded over the characters of ``b``."""
-    right = F.split(b, "")
-    blank = F.transform(right, lambda _: F.lit(0))
+    """Length of the longest common subsequence, in Arrow batches."""
 
-    def row(before: Column, x: Column) -> Column:
-        # element j holds the length for b up to j; the fold carries the row so far
-        step = lambda acc, j: F.concat(acc, F.array(F.when(F.get(right, j) == x, F.when(j == 0, F.lit(0)).otherwise(F.get(before, j - 1)) + 1).otherwise(F.greatest(F.get(before, j), F.coalesce(F.get(acc, j - 1), F.lit(0))))))
-        return F.aggregate(F.sequence(F.lit(0), F.size(right) - 1), F.array().cast("array<int>"), step)
+    def run(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None or q is None else _lcs(p, q) for p, q in zip(x, y, strict=True)], dtype="Int32")
 
-    last = F.aggregate(F.split(a, ""), blank, row)
-    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(F.element_at(last, -1))
+    return F.pandas_udf(run, "int")(a, b)
 
 
 def sorted_tokens(c: Column) -> Column:
@@ -57,8 +74,11 @@ def indel_ratio(a: Column, b: Column) -> Column:
 
 
 def may_reach(a: Column, b: Column, least: float) -> Column:
-    """False if the lengths alone keep the ratio of two texts below ``least``."""
-    return 200.0 * F.least(F.length(a), F.length(b)) >= least * (F.length(a) + F.length(b))
+    """False if the ratio of two texts is surely below ``least``: by their lengths, or as the
+    edit distance is above what insertions and deletions alone may be at that ratio."""
+    both = F.length(a) + F.length(b)
+    most = F.floor(both * (100.0 - least) / 100.0 + 1e-9).cast("int")
+    return (F.abs(F.length(a) - F.length(b)) <= most) & (F.call_function("levenshtein", a, b, most) >= 0)
 
 
 def token_sort_ratio(a: Column, b: Column) -> Column:

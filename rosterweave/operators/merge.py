@@ -1,19 +1,22 @@
 """Merging the records of a cluster field by field, with provenance.
 
-One aggregation: lists are united in record order, scalars come from the preferred kind of
-source, blocks from the first resume that has one, links from the first record with one.
+Scalars come from the preferred kind of source, blocks from the first resume that has one,
+links from the first record with one: each is a minimum, so a cluster of any size is reduced
+where its records lie. Values of lists are rows until equal ones are one, so what a task
+gathers of a cluster are the different values that its merged record shows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterweave.functions.text import keep_first_by
 from rosterweave.schema import EDUCATION, EXPERIENCE, PROVENANCE
 
+# Merged fields with the kind of source that wins, and the words of provenance below.
 SCALARS = {"full_name": "csv", "location_city": "csv", "location_region": "csv", "location_country": "csv", "headline": "resume", "years_experience": "resume"}
 BLOCKS = {"experience": EXPERIENCE, "education": EDUCATION}
 LINKS = ("linkedin", "github", "portfolio")
+LISTS = ("emails", "phones", "skills")
 KIND = {"csv": "structured", "resume": "unstructured"}
 
 
@@ -25,12 +28,6 @@ def _base(kind: Column) -> Column:
     return F.when(kind == "structured", "csv_direct").otherwise("regex_extract")
 
 
-def _ordered(column: str) -> Column:
-    """Values of a list column with source and kind, one struct for each value, in record order."""
-    item = F.struct("record_ix", F.transform(column, lambda v: F.struct(v.alias("v"), F.col("source").alias("s"), F.col("source_type").alias("k"))).alias("vs"))
-    return F.flatten(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["vs"]))
-
-
 def _aggregates() -> list[Column]:
     ix, out = F.col("record_ix"), []
     for name, prefer in SCALARS.items():
@@ -47,16 +44,30 @@ def _aggregates() -> list[Column]:
     for name in LINKS:
         row = F.struct(F.col(name).alias("v"), F.col("source").alias("s"), F.col("source_type").alias("k"))
         out.append(F.min_by(row, F.when(F.col(name).isNotNull(), ix)).alias(f"first_{name}"))
-    out += [_ordered(c).alias(f"all_{c}") for c in ("emails", "phones", "skills")]
-    out.append(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("record_ix", "source"))), lambda x: x["source"])).alias("merged_sources"))
+    out.append(F.min_by(F.struct(*LISTS, "source", "source_type"), ix).alias("_own"))
     out.append(F.count("*").alias("n"))
     return out
 
 
-def _collapse(phones: Column) -> Column:
-    """Indian numbers first, then the first of those that end in the same ten digits."""
-    home = lambda x: x["v"].startswith("+91")
-    return keep_first_by(F.concat(F.filter(phones, home), F.filter(phones, lambda x: ~home(x))), lambda x: F.substring(x["v"], -10, 10))
+def _list_values(clustered: DataFrame) -> DataFrame:
+    """``(cluster_id, emails, phones, skills, merged_sources)``: the different values of each list
+    in order, as structs of value, source and kind of source, skills also with all sources.
+
+    Equal values are the same whatever their case, phones also if they end in the same ten
+    digits, where Indian numbers come first.
+    """
+    item = lambda name, v, pos: F.struct(F.lit(name).alias("name"), v.alias("v"), pos.alias("pos"))
+    items_of = lambda c: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda v, i: item(c, v, i))
+    items = F.concat(*[items_of(c) for c in LISTS], F.array(item("merged_sources", F.col("source"), F.lit(0))))
+    rows = clustered.select("cluster_id", "record_ix", F.col("source").alias("s"), F.col("source_type").alias("k"), F.explode(items).alias("x")).select("cluster_id", "record_ix", "s", "k", "x.*")
+    phone = F.col("name") == "phones"
+    key = F.when(phone, F.substring("v", -10, 10)).when(F.col("name") == "merged_sources", F.col("v")).otherwise(F.lower("v"))
+    rows = rows.select("cluster_id", "name", key.alias("key"), "s", F.struct((phone & ~F.coalesce(F.col("v").startswith("+91"), F.lit(False))).alias("abroad"), "record_ix", "pos").alias("at"), F.struct("v", "s", "k").alias("x"))
+    by_source = rows.groupBy("cluster_id", "name", "key", "s").agg(F.min("at").alias("at"), F.min_by("x", "at").alias("x"))
+    values = by_source.groupBy("cluster_id", "name", "key").agg(F.min("at").alias("at"), F.min_by("x", "at").alias("x"), F.array_sort(F.collect_list(F.struct("at", "s"))).alias("by"))
+    one = F.struct("at", "x.v", "x.s", "x.k", F.when(F.col("name") == "skills", F.col("by.s")).alias("sources"))
+    of = lambda c: F.array_sort(F.collect_list(F.when(F.col("name") == c, one))).alias(c)
+    return values.groupBy("cluster_id").agg(*[of(c) for c in (*LISTS, "merged_sources")])
 
 
 def _scalar_provenance(name: str) -> Column:
@@ -92,24 +103,23 @@ def merge(clustered: DataFrame) -> DataFrame:
     """One merged record for each ``cluster_id``.
 
     A cluster of one record keeps its lists as they are; one of several unites them, each
-    value once whatever its case, and collapses phones. ``value_sources`` of skills maps each
-    kept skill to the sources that have it. An empty table gives an empty result.
+    value once whatever its case, and collapses phones. ``skill_sources`` has for each kept
+    skill the sources that name it. An empty table gives an empty result.
     """
-    g = clustered.groupBy("cluster_id").agg(*_aggregates())
+    g = clustered.groupBy("cluster_id").agg(*_aggregates()).join(_list_values(clustered), "cluster_id")
     several = F.col("n") > 1
-    same = lambda x: F.lower(x["v"])
-    for name in ("emails", "phones", "skills"):
-        united = keep_first_by(F.col(f"all_{name}"), same)
-        g = g.withColumn(f"kept_{name}", F.when(several, _collapse(united) if name == "phones" else united).otherwise(F.col(f"all_{name}")))
-    sources = F.transform("kept_skills", lambda k: F.array_distinct(F.transform(F.filter("all_skills", lambda x: F.lower(x["v"]) == F.lower(k["v"])), lambda x: x["s"])))
-    g = g.withColumn("skill_sources", sources)
-    many = F.concat(*[_list_provenance(c) for c in ("emails", "phones", "skills")], *[_scalar_provenance(c) for c in SCALARS])
-    one = F.concat(*[_scalar_provenance(c) for c in SCALARS], *[_list_provenance(c) for c in ("emails", "phones", "skills")])
+    for name in LISTS:
+        own = F.transform(f"_own.{name}", lambda v: F.struct(v.alias("v"), F.col("_own.source").alias("s"), F.col("_own.source_type").alias("k")))
+        united = F.transform(name, lambda x: F.struct(x["v"].alias("v"), x["s"].alias("s"), x["k"].alias("k")))
+        g = g.withColumn(f"kept_{name}", F.when(several, united).otherwise(F.coalesce(own, F.array().cast("array<struct<v:string,s:string,k:string>>"))))
+    g = g.withColumn("skill_sources", F.when(several, F.col("skills.sources")).otherwise(F.transform("kept_skills", lambda x: F.array(x["s"]))))
+    many = F.concat(*[_list_provenance(c) for c in LISTS], *[_scalar_provenance(c) for c in SCALARS])
+    one = F.concat(*[_scalar_provenance(c) for c in SCALARS], *[_list_provenance(c) for c in LISTS])
     tail = F.concat(*[_block_provenance(c) for c in BLOCKS], *[_link_provenance(c) for c in LINKS])
     return g.select(
         "cluster_id", "n", *[F.coalesce(F.when(several, F.col(f"best_{c}")["v"]), F.col(f"first_{c}")["v"]).alias(c) for c in SCALARS],
-        *[F.transform(f"kept_{c}", lambda x: x["v"]).alias(c) for c in ("emails", "phones", "skills")], "skill_sources",
+        *[F.transform(f"kept_{c}", lambda x: x["v"]).alias(c) for c in LISTS], "skill_sources",
         *[F.coalesce(F.col(f"best_{c}")["v"], F.array().cast(t)).alias(c) for c, t in BLOCKS.items()],
         F.struct(*[F.col(f"first_{c}")["v"].alias(c) for c in LINKS], F.array().cast("array<string>").alias("other")).alias("links"),
-        "merged_sources", F.concat(F.when(several, many).otherwise(one), tail).alias("provenance"),
+        F.col("merged_sources.v").alias("merged_sources"), F.concat(F.when(several, many).otherwise(one), tail).alias("provenance"),
     )

@@ -19,14 +19,12 @@ def _map(table: dict[str, str]) -> str:
 
 
 def _country(x: str) -> str:
-    table = {name: code for code, names in N.COUNTRY_NAMES.items() for name in names.split("|")}
-    return f"({_map(table)})[lower({_trim(x)})]"
+    return f"({_map(N.COUNTRY_CODES)})[lower({_trim(x)})]"
 
 
 def _skill(x: str) -> str:
-    table = {other.replace("_", " "): name for name, others in N.SKILL_NAMES.items() for other in others.split()}
     low = f"nullif(lower({_trim(x)}), '')"
-    return f"coalesce(({_map(table)})[{low}], {low})"
+    return f"coalesce(({_map(N.SKILL_ALIASES)})[{low}], {low})"
 
 
 def _url(x: str) -> str:

@@ -15,7 +15,6 @@ from rosterweave.functions.text import pytrim
 from rosterweave.operators import check as C, merge as M, profile as P, project as J, resolve as R, score as S, validate as V
 from rosterweave.operators.split_values import split_values
 from rosterweave.plans import oracle as Q
-from rosterweave.plans.pipeline import build_profiles
 from rosterweave.sources.files import resume_records, usable
 from rosterweave.sources.people import exports, profiles, raw_records
 from rosterweave.sources.tables import once, table
@@ -23,6 +22,7 @@ from rosterweave.storage import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# A configuration that shows each feature of the projection language.
 CUSTOM = {
     "fields": [
         {"path": "full_name", "type": "string", "required": True},
@@ -48,20 +48,44 @@ def _one(t: str, key: str, column: str, f, name: str) -> Query:  # noqa: ANN001
     return lambda spark, d: once(table(spark, d, t), key, column).select(key, f(F.col(column)).alias(name))
 
 
+_HELD: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stage(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The table of a stage, written once for all queries of a session. The tables of a data
+    set are taken not to change while a session reads them."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _HELD:
+        _HELD[key] = cut(build(), name)
+    return _HELD[key]
+
+
 def _validated(spark: SparkSession, d: str) -> DataFrame:
-    return cut(V.validate(raw_records(spark, d)), "validated")
+    return _stage(spark, d, "validated", lambda: V.validate(raw_records(spark, d)))
+
+
+def _keyed(spark: SparkSession, d: str) -> DataFrame:
+    return _stage(spark, d, "keyed", lambda: R.keys(_validated(spark, d)))
+
+
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    return _stage(spark, d, "edges", lambda: R.edges(_keyed(spark, d)))
 
 
 def _clustered(spark: SparkSession, d: str) -> DataFrame:
-    return R.clusters(_validated(spark, d))
+    return _stage(spark, d, "clustered", lambda: R.clusters(_validated(spark, d), _edges(spark, d)))
 
 
 def _merged(spark: SparkSession, d: str) -> DataFrame:
-    return M.merge(_clustered(spark, d))
+    return _stage(spark, d, "merged", lambda: M.merge(_clustered(spark, d)))
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    return S.score(_merged(spark, d))
+    return _stage(spark, d, "scored", lambda: S.score(_merged(spark, d)))
+
+
+def _profiles(spark: SparkSession, d: str) -> DataFrame:
+    return _stage(spark, d, "profiles", lambda: P.profiles(_scored(spark, d)))
 
 
 def skills_split(spark: SparkSession, d: str) -> DataFrame:
@@ -91,7 +115,7 @@ def union_sources(spark: SparkSession, d: str) -> DataFrame:
 
 
 def validation_log(spark: SparkSession, d: str) -> DataFrame:
-    v = V.validate(raw_records(spark, d))
+    v = _validated(spark, d)
     return v.select("record_ix", F.posexplode("validation_log").alias("at", "r")).select("record_ix", "at", "r.*")
 
 
@@ -124,16 +148,16 @@ def resumes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def email_edges(spark: SparkSession, d: str) -> DataFrame:
-    return R.email_edges(R.keys(_validated(spark, d)))
+    return R.email_edges(_keyed(spark, d))
 
 
 def match_reasons(spark: SparkSession, d: str) -> DataFrame:
-    return R.edges(R.keys(_validated(spark, d)))
+    return R.reasons(_keyed(spark, d), _edges(spark, d))
 
 
 def email_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Clusters by addresses alone."""
-    return R.components(R.email_edges(R.keys(_validated(spark, d)))).select(F.col("node").alias("record_ix"), F.col("root").alias("cluster_id"))
+    return R.components(R.email_edges(_keyed(spark, d))).select(F.col("node").alias("record_ix"), F.col("root").alias("cluster_id"))
 
 
 def clusters(spark: SparkSession, d: str) -> DataFrame:
@@ -192,11 +216,11 @@ def provenance(spark: SparkSession, d: str) -> DataFrame:
 
 
 def provenance_detail(spark: SparkSession, d: str) -> DataFrame:
-    return S.provenance_confidence(cut(_scored(spark, d), "scored"))
+    return S.provenance_confidence(_scored(spark, d))
 
 
 def provenance_summary(spark: SparkSession, d: str) -> DataFrame:
-    return P.provenance_summary(build_profiles(raw_records(spark, d)))
+    return P.provenance_summary(_profiles(spark, d))
 
 
 def skill_confidence(spark: SparkSession, d: str) -> DataFrame:
@@ -210,19 +234,19 @@ def overall_confidence(spark: SparkSession, d: str) -> DataFrame:
 
 
 def candidate_ids(spark: SparkSession, d: str) -> DataFrame:
-    v = V.validate(raw_records(spark, d))
+    v = _validated(spark, d)
     return v.select("record_ix", P.candidate_id(F.col("emails"), F.col("full_name"), F.col("phones")).alias("candidate_id"))
 
 
 def profiles_built(spark: SparkSession, d: str) -> DataFrame:
-    p = build_profiles(raw_records(spark, d))
+    p = _profiles(spark, d)
     return p.select("cluster_id", "candidate_id", "full_name", "headline", "years_experience", F.size("skills").alias("n_skills"), F.col("location.country").alias("country"), "overall_confidence")
 
 
 def _projected(config: dict | None) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
         parsed = J.parse_config(config)
-        rows = C.check(J.project(build_profiles(raw_records(spark, d)), parsed, "cluster_id"), parsed)
+        rows = C.check(J.project(_profiles(spark, d), parsed, "cluster_id"), parsed)
         shown = [F.to_json(c).alias(c) if t.startswith(("array", "struct")) else F.col(c) for c, t in rows.dtypes]
         return rows.select(*shown)
 
@@ -231,12 +255,12 @@ def _projected(config: dict | None) -> Query:
 
 def project_omit(spark: SparkSession, d: str) -> DataFrame:
     config = J.parse_config(CUSTOM | {"on_missing": "omit"})
-    return J.project_json(build_profiles(raw_records(spark, d)), config, "cluster_id")
+    return J.project_json(_profiles(spark, d), config, "cluster_id")
 
 
 def valid_output(spark: SparkSession, d: str) -> DataFrame:
     parsed = J.parse_config(CUSTOM)
-    rows = C.valid_only(C.check(J.project(build_profiles(raw_records(spark, d)), parsed, "cluster_id"), parsed))
+    rows = C.valid_only(C.check(J.project(_profiles(spark, d), parsed, "cluster_id"), parsed))
     return rows.withColumn("skills", F.array_join("skills", "|"))
 
 
@@ -252,7 +276,7 @@ def queries() -> dict[str, Query]:
         "validate_years": _one("recruiter", "rec_id", "years_experience", N.years, "years"),
         "validate_url": _one("recruiter", "rec_id", "linkedin", N.url, "linkedin"),
         "skills_split": skills_split, "experience_dates": experience_dates, "source_type": source_types, "profile_contacts": profile_contacts, "union_sources": union_sources,
-        "validation_log": validation_log, "rejections_by_field": lambda s, d: V.rejections(V.validate(raw_records(s, d))),
+        "validation_log": validation_log, "rejections_by_field": lambda s, d: V.rejections(_validated(s, d)),
         "usable_records": lambda s, d: usable(profiles(s, d)).select("record_ix"), "csv_remap": lambda s, d: exports(s, d).select("record_ix", "source", "full_name", "skills_text"),
         "extract_emails": extract_emails, "extract_phones": extract_phones, "extract_links": extract_links, "split_sections": split_sections, "resume_records": resumes,
         "email_edges": email_edges, "match_reasons": match_reasons, "email_clusters": email_clusters, "clusters": clusters, "cluster_sizes": cluster_sizes,

@@ -1,8 +1,4 @@
-"""Validation of records as they arrive, and resolution by micro-batches.
-
-Validation and extraction keep no state, so they run on a stream as they are. Clusters need
-all records, so each micro-batch is added to a table and the profiles are built from it.
-"""
+"""Validation of records as they arrive: it keeps no state, so it runs on a stream as it is."""
 
 from __future__ import annotations
 

@@ -7,6 +7,7 @@ from rosterweave.operators import check as C, merge as M, profile as P, project
 from rosterweave.plans.pipeline import build_profiles, main, run
 from rosterweave.sources.people import aligned
 
+# The records and results of the golden case.
 EXPORT = dict(record_ix=1, source="recruiter.csv", full_name="John Smith", email="john.smith@email.com", phone="+1-415-555-0101", location_city="San Francisco", location_country="United States", linkedin="https://linkedin.com/in/johnsmith", skills_text="Python, SQL, Docker", years_experience="5")
 GARBAGE = dict(record_ix=2, source="recruiter.csv", full_name="J0hn Smyth", email="not-an-email", phone="000-GARBAGE", location_country="Narnia", linkedin="just-text-not-url", skills_text="", years_experience="abc")
 RESUME = dict(record_ix=3, source="resume.pdf", full_name="John Smith", emails=["john.smith@email.com"], phones=["+1 (415) 555-0101"], github="https://github.com/johnsmith", skills_list=["Python", "Go", "K8S", "REST API"], years_experience="6.9", experience=[("Acme", "SWE", "2021-03", None, None)], education=[("UC Berkeley", "B.S.", "CS", None, None, 2019)])
