@@ -40,6 +40,19 @@ def provenance_of(profiles_: DataFrame, field: str) -> DataFrame:
     return profiles_.select("candidate_id", F.explode(F.filter("provenance", lambda p: p["field"] == field)).alias("p")).select("candidate_id", "p.*")
 
 
+def sources_for_field(profiles_: DataFrame, field: str) -> DataFrame:
+    """``(cluster_id, candidate_id, sources)``: the different sources of a field, in order; profiles
+    without an entry for it are left out."""
+    found = F.array_distinct(F.transform(F.filter("provenance", lambda p: p["field"] == field), lambda p: p["source"]))
+    return profiles_.select("cluster_id", "candidate_id", found.alias("sources")).where(F.size("sources") > 0)
+
+
+def accessors(profiles_: DataFrame) -> DataFrame:
+    """``profiles_`` with ``primary_email``, ``primary_phone`` and ``skill_names``; null and empty
+    where there is none."""
+    return profiles_.withColumn("primary_email", F.get("emails", F.lit(0))).withColumn("primary_phone", F.get("phones", F.lit(0))).withColumn("skill_names", F.transform("skills", lambda s: s["name"]))
+
+
 def provenance_summary(profiles_: DataFrame) -> DataFrame:
     """``(cluster_id, field, entries)``: ``method@source`` of each field, in order."""
     rows = profiles_.select("cluster_id", F.posexplode("provenance").alias("at", "p"))

@@ -32,10 +32,11 @@ def _loss(threshold: float) -> float:
     """The part of its length that a name may lose of its two-grams to one that reaches
     ``threshold``. A deletion costs two grams at most, an insertion one, and a common
     subsequence of ``threshold`` of the mean length bounds both; the shortest partner is the
-    worst where the threshold is at least two thirds, else the longest."""
+    worst. Below two thirds names may be near without any two-gram in common, which is refused."""
+    if threshold < 200 / 3:
+        raise ValueError("names are met from a ratio of two thirds on")
     r = threshold / 100
-    partner = r / (2 - r) if r >= 2 / 3 else (2 - r) / r
-    return (2 - 1.5 * r) + (1 - 1.5 * r) * partner
+    return (2 - 1.5 * r) + (1 - 1.5 * r) * r / (2 - r)
 
 
 def _postings(names: DataFrame, threshold: float) -> DataFrame:

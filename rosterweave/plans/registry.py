@@ -6,6 +6,7 @@ sides compare alike.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,10 +16,11 @@ from rosterweave.functions.text import pytrim
 from rosterweave.operators import check as C, merge as M, profile as P, project as J, resolve as R, score as S, validate as V
 from rosterweave.operators.split_values import split_values
 from rosterweave.plans import oracle as Q
-from rosterweave.sources.files import resume_records, usable
+from rosterweave.plans.counters import run_counters
+from rosterweave.sources.files import EXPORT_COLUMNS, missing_headers, read_csvs, resume_records, usable
 from rosterweave.sources.people import exports, profiles, raw_records
 from rosterweave.sources.tables import once, table
-from rosterweave.storage import cut
+from rosterweave.storage import cut, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,7 +118,7 @@ def union_sources(spark: SparkSession, d: str) -> DataFrame:
 
 def validation_log(spark: SparkSession, d: str) -> DataFrame:
     v = _validated(spark, d)
-    return v.select("record_ix", F.posexplode("validation_log").alias("at", "r")).select("record_ix", "at", "r.*")
+    return v.select("record_ix", F.posexplode("validation_log").alias("place", "r")).select("record_ix", "place", "r.*")
 
 
 def extract_emails(spark: SparkSession, d: str) -> DataFrame:
@@ -131,8 +133,9 @@ def extract_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def extract_phones(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", X.phones(F.col("text")).alias("phones"))
-    return docs.where(F.size("phones") > 0).select("doc_id", _joined("phones"))
+    """Phones as typed in the notes of recruiters; the documents have none."""
+    notes = once(table(spark, d, "recruiter"), "rec_id", "notes").select("rec_id", X.phones(F.col("notes")).alias("phones"))
+    return notes.where(F.size("phones") > 0).select("rec_id", _joined("phones"))
 
 
 def split_sections(spark: SparkSession, d: str) -> DataFrame:
@@ -140,6 +143,45 @@ def split_sections(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", *[X.section(t, s).alias(s.lower()) for s in ("HEADER", "SKILLS", "EXPERIENCE", "EDUCATION")])
 
 
+def resume_heads(spark: SparkSession, d: str) -> DataFrame:
+    """Name and place that the head of each document gives."""
+    heads = table(spark, d, "documents").select("doc_id", X.section(F.col("text"), "HEADER").alias("h"))
+    return heads.select("doc_id", X.name(F.col("h")).alias("full_name"), X.city(F.col("h")).alias("city"), X.home_country(F.col("h")).alias("country"))
+
+
+def resume_skills(spark: SparkSession, d: str) -> DataFrame:
+    """Known skills of the skill section of each document that has one."""
+    docs = table(spark, d, "documents").select("doc_id", X.listed_skills(X.section(F.col("text"), "SKILLS")).alias("skills"))
+    return docs.where("skills is not null").select("doc_id", _joined("skills"))
+
+
+def tenure(spark: SparkSession, d: str) -> DataFrame:
+    """Years in all jobs of each record, as of June 2025."""
+    return _validated(spark, d).select("record_ix", X.tenure_years(F.col("experience"), F.lit("2025-06-01").cast("date")).alias("years"))
+
+
+def normalize_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    """The normalisers of a projection, by name."""
+    r = once(table(spark, d, "recruiter"), "rec_id", "phone", "email", "title", "location_country")
+    of = lambda key, c: N.normalizer(key)(c).alias(key.lower())
+    return r.select("rec_id", of("E164", F.col("phone")), of("email", F.col("email")), of("canonical", F.col("title")), of("country", F.col("location_country")), of("national", N.phone(F.col("phone"))))
+
+
+def missing_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Columns of an export that two tables lack, as one text for each."""
+    rows = [(t, "|".join(missing_headers(table(spark, d, t).columns))) for t in ("recruiter", "candidate_profile")]
+    return spark.createDataFrame(rows, "table_name string, missing string")
+
+
+def csv_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The exports written as CSV files and read again by their headers."""
+    r = once(table(spark, d, "recruiter"), "rec_id", *EXPORT_COLUMNS)
+    folder = f"{shared_dir(spark)}/exports-{uuid.uuid4().hex}"
+    r.select(*EXPORT_COLUMNS, F.col("rec_id").cast("string").alias("github_id")).withColumn("github", F.col("github_id")).drop("github_id").write.csv(folder, header=True, escape='"', emptyValue="", lineSep="\n")
+    got = read_csvs(spark, [folder.removeprefix("file://")])
+    return got.select(F.col("github").cast("long").alias("rec_id"), "full_name", "email", "phone", "location_city", "skills_text", "notes")
+
+
 def resumes(spark: SparkSession, d: str) -> DataFrame:
     """Raw records that the extraction reads from the documents."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("record_ix"), F.lit("documents.txt").alias("source"), "text")
@@ -151,6 +193,14 @@ def email_edges(spark: SparkSession, d: str) -> DataFrame:
     return R.email_edges(_keyed(spark, d))
 
 
+def match_keys(spark: SparkSession, d: str) -> DataFrame:
+    return _keyed(spark, d).select("record_ix", _joined("emails"), _joined("phones"), "name")
+
+
+def phone_name_edges(spark: SparkSession, d: str) -> DataFrame:
+    return R.phone_name_edges(_keyed(spark, d)).select("src", "dst", F.round("score", 6).alias("score"))
+
+
 def match_reasons(spark: SparkSession, d: str) -> DataFrame:
     return R.reasons(_keyed(spark, d), _edges(spark, d))
 
@@ -212,7 +262,7 @@ def merge_blocks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def provenance(spark: SparkSession, d: str) -> DataFrame:
-    return _merged(spark, d).select("cluster_id", F.posexplode("provenance").alias("at", "p")).select("cluster_id", "at", "p.*")
+    return _merged(spark, d).select("cluster_id", F.posexplode("provenance").alias("place", "p")).select("cluster_id", "place", "p.*")
 
 
 def provenance_detail(spark: SparkSession, d: str) -> DataFrame:
@@ -223,6 +273,22 @@ def provenance_summary(spark: SparkSession, d: str) -> DataFrame:
     return P.provenance_summary(_profiles(spark, d))
 
 
+def provenance_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Sources that the skills of each profile come from."""
+    return P.sources_for_field(_profiles(spark, d), "skills").select("cluster_id", _joined("sources"))
+
+
+def profile_accessors(spark: SparkSession, d: str) -> DataFrame:
+    return P.accessors(_profiles(spark, d)).select("cluster_id", "primary_email", "primary_phone", _joined("skill_names"))
+
+
+def batch_counters(spark: SparkSession, d: str) -> DataFrame:
+    """What each stage of a run kept and lost, with the custom configuration."""
+    parsed = J.parse_config(CUSTOM)
+    checked = C.check(J.project(_profiles(spark, d), parsed, "cluster_id"), parsed)
+    return run_counters(_validated(spark, d), _merged(spark, d), _profiles(spark, d), checked)
+
+
 def skill_confidence(spark: SparkSession, d: str) -> DataFrame:
     """Confidence of every skill of the profiles, from the sources of the profiles that have it."""
     s = once(table(spark, d, "skill"), "skill_id", "name", "src_file").where("src_file is not null").select(N.skill(F.col("name")).alias("name"), "src_file").where("name is not null")
@@ -258,6 +324,21 @@ def project_omit(spark: SparkSession, d: str) -> DataFrame:
     return J.project_json(_profiles(spark, d), config, "cluster_id")
 
 
+TYPED = {
+    "fields": [
+        {"path": "headline", "type": "number"}, {"path": "years", "from": "years_experience", "type": "string", "required": True}, {"path": "skills", "type": "string[]"},
+        {"path": "location", "type": "object"}, {"path": "links", "type": "object[]"}, {"path": "mail", "from": "emails[0]", "type": "string", "required": True}, {"path": "name", "from": "full_name", "type": "unheard of"},
+    ],
+}
+
+
+def check_output(spark: SparkSession, d: str) -> DataFrame:
+    """Violations and warnings of a configuration that declares some types wrongly."""
+    parsed = J.parse_config(TYPED)
+    rows = C.check(J.project(_profiles(spark, d), parsed, "cluster_id"), parsed)
+    return rows.select("cluster_id", _joined("violations"), _joined("warnings"), "should_abort")
+
+
 def valid_output(spark: SparkSession, d: str) -> DataFrame:
     parsed = J.parse_config(CUSTOM)
     rows = C.valid_only(C.check(J.project(_profiles(spark, d), parsed, "cluster_id"), parsed))
@@ -278,13 +359,14 @@ def queries() -> dict[str, Query]:
         "skills_split": skills_split, "experience_dates": experience_dates, "source_type": source_types, "profile_contacts": profile_contacts, "union_sources": union_sources,
         "validation_log": validation_log, "rejections_by_field": lambda s, d: V.rejections(_validated(s, d)),
         "usable_records": lambda s, d: usable(profiles(s, d)).select("record_ix"), "csv_remap": lambda s, d: exports(s, d).select("record_ix", "source", "full_name", "skills_text"),
-        "extract_emails": extract_emails, "extract_phones": extract_phones, "extract_links": extract_links, "split_sections": split_sections, "resume_records": resumes,
-        "email_edges": email_edges, "match_reasons": match_reasons, "email_clusters": email_clusters, "clusters": clusters, "cluster_sizes": cluster_sizes,
+        "extract_emails": extract_emails, "extract_phones": extract_phones, "extract_links": extract_links, "split_sections": split_sections, "resume_heads": resume_heads, "resume_skills": resume_skills, "resume_records": resumes, "tenure": tenure,
+        "normalize_dispatch": normalize_dispatch, "missing_columns": missing_columns, "csv_round_trip": csv_round_trip,
+        "match_keys": match_keys, "email_edges": email_edges, "phone_name_edges": phone_name_edges, "match_reasons": match_reasons, "email_clusters": email_clusters, "clusters": clusters, "cluster_sizes": cluster_sizes,
         "merge_scalars": merge_scalars, "merge_lists": merge_lists, "merged_sources": merged_sources, "merge_links": merge_links, "merge_blocks": merge_blocks,
         "cluster_scalars": cluster_scalars, "cluster_sources": cluster_sources, "cluster_links": cluster_links,
-        "provenance": provenance, "provenance_detail": provenance_detail, "provenance_summary": provenance_summary, "skill_confidence": skill_confidence, "overall_confidence": overall_confidence,
-        "candidate_id": candidate_ids, "profiles": profiles_built, "project_default": _projected(None), "project_custom": _projected(CUSTOM), "project_error": _projected(CUSTOM | {"on_missing": "error"}), "project_omit": project_omit,
-        "valid_output": valid_output,
+        "provenance": provenance, "provenance_detail": provenance_detail, "provenance_summary": provenance_summary, "provenance_sources": provenance_sources, "skill_confidence": skill_confidence, "overall_confidence": overall_confidence,
+        "candidate_id": candidate_ids, "profiles": profiles_built, "profile_accessors": profile_accessors, "batch_counters": batch_counters, "project_default": _projected(None), "project_custom": _projected(CUSTOM), "project_error": _projected(CUSTOM | {"on_missing": "error"}), "project_omit": project_omit,
+        "check_output": check_output, "valid_output": valid_output,
     }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import logging
 import os
 from collections.abc import Iterator
 
@@ -11,11 +12,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterweave.functions import extract as X
 from rosterweave.functions.text import present
+from rosterweave.operators.joins import bounded_broadcast
 from rosterweave.sources.people import aligned
 
 # Headers of an export and the names of their fields.
 HEADERS = {"name": "full_name", "candidate_name": "full_name", "skills": "skills_text", "skills_raw": "skills_text", "country": "location_country"}
-RESUME_BASE = 1_000_000_000_000
+EXPORT_COLUMNS = ("name", "email", "phone", "current_company", "title", "location_city", "location_country", "linkedin", "github", "years_experience", "skills", "notes")
+# rows of one file are numbered below 2 ** FILE_BITS, files above; resumes come behind all exports
+FILE_BITS = 33
+RESUME_BASE = 1 << 62
+LOG = logging.getLogger(__name__)
 
 
 def expand(paths: list[str], extensions: tuple[str, ...]) -> list[str]:
@@ -36,25 +42,37 @@ def _header(path: str) -> list[str]:
         return [h.strip() for h in next(csv.reader(f), [])]
 
 
-def read_csv(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
-    """Raw records of one export, all values text. Short rows are filled with null, over-long
-    rows left out; of two headers for one field the last counts; unknown headers are dropped."""
-    header = _header(path) if os.path.exists(path) else []
-    if not header:
-        return aligned(spark.createDataFrame([], "record_ix long"))
-    columns = [f"c{i}" for i in range(len(header))]
-    schema = ", ".join(f"{c} string" for c in [*columns, "overflow"])
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', mode="PERMISSIVE", schema=schema, enforceSchema=True)
-    fields = {HEADERS.get(h, h): c for h, c in zip(header, columns, strict=True)}
-    picked = rows.where("overflow is null").select(F.monotonically_increasing_id().alias("record_ix"), F.lit(source or path).alias("source"), *[present(F.col(c)).alias(f) for f, c in fields.items() if f not in ("record_ix", "source")])
-    return aligned(picked)
+def missing_headers(header: list[str]) -> list[str]:
+    """Columns of an export that ``header`` lacks, in order."""
+    return sorted(set(EXPORT_COLUMNS) - set(header))
 
 
 def read_csvs(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All exports in the order of their files."""
-    out = aligned(spark.createDataFrame([], "record_ix long"))
+    """Raw records of all exports, all values text; ``record_ix`` goes by file, then by row.
+
+    Short rows are filled with null, over-long rows left out; of two headers for one field the
+    last counts; unknown headers are dropped, and absent ones are reported as a warning. Files
+    with one header are one scan, however many they are; the driver reads header lines only.
+    No file gives an empty result.
+    """
+    kinds: dict[tuple[str, ...], list[tuple[int, str]]] = {}
     for i, path in enumerate(expand(paths, (".csv",))):
-        out = out.unionByName(read_csv(spark, path).withColumn("record_ix", F.col("record_ix") + i * 10_000_000_000))
+        if header := _header(path):
+            kinds.setdefault(tuple(header), []).append((i, path))
+    out = aligned(spark.createDataFrame([], "record_ix long"))
+    for header, files in kinds.items():
+        if absent := missing_headers(list(header)):
+            LOG.warning("%d files without %s, the first is %s", len(files), ", ".join(absent), files[0][1])
+        columns = [f"c{i}" for i in range(len(header))]
+        schema = ", ".join(f"{c} string" for c in [*columns, "overflow"])
+        rows = spark.read.csv([p for _, p in files], header=True, multiLine=True, escape='"', mode="PERMISSIVE", schema=schema, enforceSchema=True)
+        # a file of quoted line ends is read by one task, so the row count of the task orders its rows
+        rows = rows.withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << FILE_BITS) - 1)).withColumn("_file", F.url_decode(F.replace(F.regexp_replace("_metadata.file_path", "^file:/*", "/"), F.lit("+"), F.lit("%2B"))))
+        known = spark.createDataFrame([(os.path.abspath(p), i, p) for i, p in files], "_file string, _no long, _path string")
+        fields = {HEADERS.get(h, h): c for h, c in zip(header, columns, strict=True)}
+        picked = rows.where("overflow is null").join(bounded_broadcast(known), "_file")
+        picked = picked.select(F.shiftleft("_no", FILE_BITS).bitwiseOR(F.col("_row")).alias("record_ix"), F.col("_path").alias("source"), *[present(F.col(c)).alias(f) for f, c in fields.items() if f not in ("record_ix", "source")])
+        out = out.unionByName(aligned(picked))
     return out
 
 

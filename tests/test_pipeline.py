@@ -174,3 +174,57 @@ def test_merged_queries_cover_the_whole_clusters(spark, small):
     for name, rows in want.items():
         got = {r.cluster_id: tuple(r)[1:] for r in registry.queries()[name](spark, small).collect()}
         assert got == rows, name
+
+
+def test_near_names_lose_no_pair(spark):
+    """Against all pairs, short and repetitive names included, hot grams spread or not."""
+    import random
+
+    from rosterweave.functions.text import _lcs
+    from rosterweave.storage import cut
+
+    rng = random.Random(8)
+    names = {"".join(rng.choices("ab cd", k=rng.randint(1, 14))).strip() or "a" for _ in range(120)} | {"aaaaaaaa", "aaaaaaa", "aaaaaab", "a", "ab"}
+    names |= {n[:i] + rng.choice("abe") + n[i:] for n in sorted(names) for i in (0, len(n) // 2)}
+    rows = [("+1", n, i) for i, n in enumerate(sorted(names))] + [("+2", "alone", 9000)]
+    table = cut(spark.createDataFrame(rows, "phone string, name string, ix long"))
+    for threshold in (85.0, 67.0):
+        want = {(a, b) for _, a, _ in rows[:-1] for _, b, _ in rows[:-1] if a < b and 200 * _lcs(a, b) / (len(a) + len(b)) >= threshold}
+        for hot in (512, 20):
+            got = [(r.na, r.nb) for r in R.near_names(table, threshold, hot).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_exports_of_many_files(spark, tmp_path, caplog):
+    from rosterweave.sources.files import RESUME_BASE, read_csvs
+
+    for i in range(150):
+        head = "name,email" if i % 2 else "email,name,odd"
+        row = f'"Ann\nof {i}",a{i}@x.org' if i % 2 else f"b{i}@x.org,Bob {i},?"
+        (tmp_path / f"f+{i:03} é.csv").write_text(f"{head}\n{row}\nSecond,s{i}@x.org\n" if i % 2 else f"{head}\n{row}\n")
+    rows = sorted(read_csvs(spark, [str(tmp_path)]).select("record_ix", "source", "full_name", "email").collect())
+    assert len(rows) == 225 and len({r.record_ix for r in rows}) == 225 and rows[-1].record_ix < RESUME_BASE
+    assert [r.source for r in rows] == sorted(r.source for r in rows)
+    assert (rows[0].email, rows[0].full_name, rows[1].full_name, rows[2].full_name) == ("b0@x.org", "Bob 0", "Ann\nof 1", "Second")
+    assert "without" in caplog.text
+    assert read_csvs(spark, [str(tmp_path / "none")]).count() == 0
+
+
+def test_merging_a_large_cluster(raw):
+    """Lists are united as rows; ten digits alike are one phone whatever their place."""
+    many = [dict(record_ix=i, source=f"s{i % 3}.csv", full_name=f"N {i}", emails=[f"A{i % 7}@x.org", f"a{i % 7}@X.org"], skills_list=["SQL", "Go" if i % 2 else "Rust"]) for i in range(300)]
+    m = M.merge(V.validate(raw(*many)).withColumn("cluster_id", F.lit(0))).collect()[0]
+    assert m.emails == [f"a{i}@x.org" for i in range(7)] and m.n == 300
+    assert m.skills == ["sql", "rust", "go"] and m.skill_sources == [["s0.csv", "s1.csv", "s2.csv"], ["s0.csv", "s2.csv", "s1.csv"], ["s1.csv", "s0.csv", "s2.csv"]]
+
+
+def test_nothing_to_merge(raw):
+    assert build_profiles(raw()).count() == 0
+
+
+def test_counts_are_observed(spark):
+    from rosterweave.plans.counters import observed
+
+    df, seen = observed(spark.range(10), "run", even=F.when(F.col("id") % 2 == 0, 1))
+    df.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 10, "even": 5}
