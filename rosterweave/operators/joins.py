@@ -6,34 +6,30 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rosterweave.storage import cut
+from rosterweave.storage import cut, figure, row_width
 
 BROADCAST_BYTES = 8 << 20
 HOT_ROWS = 50_000
 
 
 def _width(df: DataFrame) -> Column:
-    """Bytes of one row, counted: strings by length, arrays and structs as JSON, the rest as 8."""
-    parts = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            parts.append(F.coalesce(F.length(c), F.lit(0)) + 16)
-        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
-            parts.append(F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) + 16)
-        else:
-            parts.append(F.lit(8))
-    return reduce(lambda a, b: a + b, parts, F.lit(8))
+    """Bytes of one row; arrays and structs count as their JSON."""
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType))]
+    parts = [F.coalesce(F.length(F.to_json(F.struct(f"`{c}`"))), F.lit(0)) + 16 for c in wide]
+    return reduce(lambda a, b: a + b, parts, row_width(df.drop(*wide)))
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of a table as a sum over its rows. Call it on a cut or fixed table."""
-    return df.agg(F.coalesce(F.sum(_width(df).cast("long")), F.lit(0))).first()[0]
+    """Size of a table as a sum over its rows, as it was counted when the table was cut, or
+    counted now: call it on a cut or fixed table."""
+    known = figure(df, "bytes")
+    return known if known is not None else df.agg(F.coalesce(F.sum(_width(df).cast("long")), F.lit(0))).first()[0]
 
 
-def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its measured size allows one, else ``df`` as it is."""
-    return F.broadcast(df) if measured_bytes(df) <= limit else df
+def bounded_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, whole: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows one, else ``df`` as it is.
+    ``whole`` is a table that ``df`` is a part of, whose size is taken instead."""
+    return F.broadcast(df) if measured_bytes(whole if whole is not None else df) <= limit else df
 
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left", limit: int = BROADCAST_BYTES, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -46,11 +42,12 @@ def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str =
     """
     if measured_bytes(lookup) <= limit:
         return rows.join(F.broadcast(lookup), keys, how)
-    counts = rows.groupBy(*keys).count()
-    hot = cut(counts.where(F.col("count") > max(hot_rows, rows.count() // 1000)).select(*keys), "hot")
+    total = figure(rows, "rows")
+    least = max(hot_rows, (total if total is not None else rows.count()) // 1000)
+    hot = cut(rows.groupBy(*keys).count().where(F.col("count") > least).select(*keys), "hot")
     null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     out = rows.where(~null)
-    if hot.isEmpty():
+    if not figure(hot, "rows"):
         out = out.join(lookup, keys, how)
     else:
         few = F.broadcast(hot)

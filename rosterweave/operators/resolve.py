@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rosterweave.functions.text import indel_ratio, let, may_reach, pytrim, sorted_tokens
 from rosterweave.operators.joins import bounded_broadcast
-from rosterweave.storage import cut, discard
+from rosterweave.storage import cut, discard, figure
 
 THRESHOLD = 85.0
 # Fixed value: letters from rare to frequent, which orders two-grams; others are the rarest.
@@ -103,8 +103,8 @@ def components(pairs: DataFrame, max_rounds: int = 64) -> DataFrame:
         seen = both.join(now.select(F.col("node").alias("dst"), F.col("root").alias("r")), "dst").groupBy(F.col("src").alias("node")).agg(F.min("r").alias("r"))
         low = now.join(seen, "node").select("node", "root", F.least("root", "r").alias("low"))
         jump = now.select(F.col("node").alias("low"), F.col("root").alias("far"))
-        then = cut(low.join(jump, "low").select("node", F.least("low", "far").alias("root"), (F.least("low", "far") < F.col("root")).alias("moved")), "labels")
-        moved = then.where("moved").limit(1).count()
+        then = cut(low.join(jump, "low").select("node", F.least("low", "far").alias("root"), (F.least("low", "far") < F.col("root")).alias("moved")), "labels", moved=F.count_if("moved"))
+        moved = figure(then, "moved")
         discard(now)
         now = then.drop("moved")
         now._cut_path = then._cut_path

@@ -11,8 +11,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,16 +34,44 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
-def cut(df: DataFrame, name: str = "t") -> DataFrame:
-    """Write ``df`` once and return a scan of what was written."""
+def row_width(df: DataFrame) -> Column | None:
+    """Bytes of one row, counted: strings by length, other single values as 8; None if a column
+    is no single value."""
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.length(F.col(f"`{f.name}`")), F.lit(0)) + 16)
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            return None
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda a, b: a + b, parts, F.lit(8))
+
+
+def cut(df: DataFrame, name: str = "t", **figures: Column) -> DataFrame:
+    """Write ``df`` once and return a scan of what was written.
+
+    ``figures`` are aggregates that are counted while the rows are written, with no pass of
+    their own, and so are the rows and, of a table of single values, the bytes; see
+    :func:`figure`.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    seen, width = Observation(), row_width(df)
+    counted = {"rows": F.count(F.lit(1)), **figures}
+    if width is not None:
+        counted["bytes"] = F.coalesce(F.sum(width.cast("long")), F.lit(0))
+    df.observe(seen, *[c.alias(k) for k, c in counted.items()]).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path
+    out._cut_path, out._figures = path, seen.get
     return out
 
 
+def figure(df: DataFrame, name: str):  # noqa: ANN201
+    """A figure counted when ``df`` was cut; None for a table that was not cut, or without it."""
+    return getattr(df, "_figures", {}).get(name)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`cut`; a table of another kind is left alone."""
     path = getattr(df, "_cut_path", None)
