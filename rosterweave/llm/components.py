@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterweave.storage import cut, discard
+from rosterweave.storage import cut, discard, figure
 
 
 def _oriented(edges: DataFrame) -> DataFrame:
@@ -32,10 +32,6 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return _oriented(moved)
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """``(node, group_id)`` for every node of ``edges(u, v)``; ``group_id`` is the least node
     of its component.
@@ -46,14 +42,15 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     edge set no longer changes; if ``max_rounds`` do not suffice an error is raised, never an
     unfinished grouping.
     """
-    now = cut(_oriented(edges.select("u", "v").where("u is not null and v is not null")), "edges")
-    state = _state(now)
+    # the edge set is known by its size and the sum of its hashes, counted while it is written
+    print_ = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
+    now = cut(_oriented(edges.select("u", "v").where("u is not null and v is not null")), "edges", hashes=print_)
     for _ in range(max_rounds):
         large = cut(_large_star(now), "large")
-        then = cut(_small_star(large), "small")
+        then = cut(_small_star(large), "small", hashes=print_)
         discard(now), discard(large)
-        now, before, state = then, state, _state(then)
-        if state == before:
+        now, before = then, now
+        if all(figure(now, f) == figure(before, f) for f in ("rows", "hashes")):
             roots = now.select(F.col("v").alias("node"), F.col("v").alias("group_id")).distinct()
             return now.select(F.col("u").alias("node"), F.col("v").alias("group_id")).unionByName(roots)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rosterweave.llm.components import components
 from rosterweave.llm.ngrams import GRAMS, Weights, cosine_links, shared
-from rosterweave.storage import cut, discard
+from rosterweave.storage import cut, discard, figure
 
 
 def average_linkage(sim: np.ndarray, threshold: float) -> np.ndarray:
@@ -141,19 +141,20 @@ def _by_rounds(links: DataFrame, threshold: float, vectors: DataFrame | None = N
 def cluster(nodes: DataFrame, weights: Weights, links: DataFrame, threshold: float, dense_nodes: int = 1500, nodes_per_task: int = 20_000) -> DataFrame:
     """``(id, cluster)`` for every node that has a link; ``cluster`` is its least id.
 
-    ``nodes`` has ``(id, text)``, ``links`` is a cut table ``(a, b, sim)`` of the pairs at the
-    threshold. Components of more than ``dense_nodes`` nodes are merged in rounds.
+    ``nodes`` has ``(id, text)``, ``links`` is a cut table ``(a, b)`` of pairs. Clusters lie
+    within the components of the links, and within those every pair counts by its cosine,
+    linked or not. Components of more than ``dense_nodes`` nodes are merged in rounds, which
+    begin with all their pairs at the threshold, with the same result.
     """
     comp = cut(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("node").alias("id"), F.col("group_id").alias("comp")), "comp")
-    sized = cut(comp.groupBy("comp").count(), "sizes")
-    total, most = sized.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    sized = cut(comp.groupBy("comp").count(), "sizes", most=F.max("count"))
+    total, most = figure(comp, "rows"), figure(sized, "most") or 0
     texts = nodes.select("id", "text")
-    middle = comp.join(sized.where(F.col("count") <= dense_nodes), "comp").join(texts, "id")
+    middle = comp if most <= dense_nodes else comp.join(sized.where(F.col("count") <= dense_nodes), "comp")
     tasks = max(12, total // nodes_per_task)
-    out = middle.select("id", "text", "comp", F.pmod(F.xxhash64("comp"), F.lit(tasks)).alias("_t")).groupBy("_t").applyInPandas(_dense(shared(weights), threshold), "id long, cluster long")
+    out = middle.join(texts, "id").select("id", "text", "comp", F.pmod(F.xxhash64("comp"), F.lit(tasks)).alias("_t")).groupBy("_t").applyInPandas(_dense(shared(weights), threshold), "id long, cluster long")
     if most > dense_nodes:
-        large = comp.join(sized.where(F.col("count") > dense_nodes), "comp").join(texts, "id")
-        large = cut(large.select("id", F.col("comp").cast("string").alias("block"), "text"), "large")
-        near = cut(cosine_links(large, weights, threshold, sizes=GRAMS, gate=False), "near")
-        out = out.unionByName(_by_rounds(near, threshold, cut(_vectors(large, weights), "vectors")))
+        large = cut(comp.join(sized.where(F.col("count") > dense_nodes), "comp").join(texts, "id").select("id", "comp", "text"), "large")
+        inside = cut(cosine_links(large.select("id", F.col("comp").cast("string").alias("block"), "text"), shared(weights), threshold, near=False, sizes=GRAMS), "inside")
+        out = out.unionByName(_by_rounds(inside, threshold, cut(_vectors(large, weights), "vectors")))
     return out

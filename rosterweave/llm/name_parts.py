@@ -52,6 +52,8 @@ NICKNAMES = (
 
 
 def folded(text: str) -> str:
+    if text.isascii():
+        return text
     text = unicodedata.normalize("NFKD", text.replace("ł", "l").replace("ø", "o").replace("ß", "ss"))
     return "".join(c for c in text if not unicodedata.combining(c))
 

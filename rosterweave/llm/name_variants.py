@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, functions as F
 from rosterweave.llm import name_parts as parts
 from rosterweave.llm.linkage import cluster
 from rosterweave.llm.canonical import near_texts
-from rosterweave.llm.ngrams import linked
-from rosterweave.storage import cut
+from rosterweave.llm.ngrams import cosine_links, crowd_of, gram_weights, meet, postings, shared, verified
+from rosterweave.operators.joins import BROADCAST_BYTES, bounded_broadcast, measured_bytes
+from rosterweave.storage import cut, figure
 
 LEXICONS = {"company": parts.LINES, "institution": parts.SCHOOLS}
 
@@ -81,45 +82,72 @@ def given_classes(read: DataFrame, ratio: int = 5) -> DataFrame:
     return one.join(nicks, "fixed", "left").select("cls", F.coalesce("given", "fixed").alias("given")).distinct()
 
 
+def allowed_classes(loose: DataFrame, known: DataFrame, posted: DataFrame, held, threshold: float) -> DataFrame:  # noqa: ANN001
+    """``(kind, first, text, cls)``: for open spellings ``loose(id, kind, first, text)`` the classes in
+    which some text of ``known(id, kind, cls, text)`` reaches ``threshold``. ``posted`` are the
+    postings of the known texts, which are looked up by their kind and initial (``lettered``)
+    and, for spellings without an initial, by their kind alone (``kinded``)."""
+    asked = cut(postings(loose.select("id", F.xxhash64("kind", "first").alias("block"), "text"), held, threshold), "asked")
+    have = posted.drop("block").withColumn("block", F.explode(F.array("lettered", "kinded")))
+    few = measured_bytes(asked) <= BROADCAST_BYTES
+    # a side that is broadcast needs no spreading of crowded grams
+    met = cut(meet(F.broadcast(asked), have, threshold, 0) if few else meet(asked, have, threshold, crowd_of(known, "kind")), "met")
+    found = verified(met, loose.select(F.col("id").alias("a"), "kind", "first", F.col("text").alias("ta")), known.select(F.col("id").alias("b"), F.col("kind").alias("kind_b"), "cls", F.col("text").alias("tb")), held, threshold, whole=known)
+    return found.where("kind = kind_b and (first = '' or startswith(cls, first))").select("kind", "first", F.col("ta").alias("text"), "cls").distinct()
+
+
 def spelling_groups(names: DataFrame, link: float = 0.36, merge: float = 0.42) -> DataFrame:
     """``(kind, name, group)``: every distinct spelling with the groups it belongs to, mostly one.
 
     ``names`` is ``(kind, name)``, kind being company, institution or full_name. Null and
     stand-in names are left out, repeated rows count once, and a name that is like no other
     has a group of its own. A spelling with an open class joins a group first by a text that
-    a spelling of a class it allows has letter for letter, else by a link. An empty table
-    gives an empty result.
+    a spelling of a class it allows has letter for letter, else in each class it allows that
+    has a text near to its own; where there is none, open spellings are grouped among each
+    other. An empty table gives an empty result.
     """
     read = cut(names.where("name is not null").select("kind", "name").distinct().mapInPandas(_read, "kind string, name string, cls string, text string, nick string"), "read")
     givens = cut(given_classes(read), "classes")
-    full = read.where("kind = 'full_name' and length(cls) > 1").join(F.broadcast(givens) if givens.count() < 50_000 else givens, "cls").select("kind", "name", F.col("given").alias("cls"), "text")
+    full = read.where("kind = 'full_name' and length(cls) > 1").join(bounded_broadcast(givens), "cls").select("kind", "name", F.col("given").alias("cls"), "text")
     orgs = read.where("kind <> 'full_name' and cls <> ''").select("kind", "name", "cls", "text")
-    sure = cut(full.unionByName(orgs), "sure")
+    sure = full.unionByName(orgs)
     open_ = read.where("cls = '' or (kind = 'full_name' and length(cls) = 1)").select("kind", "name", F.col("cls").alias("first"), "text")
-    allowed = "first = '' or startswith(cls, first)"
-    known = sure.select("kind", "cls", "text").distinct()
-    exact = cut(open_.join(known, ["kind", "text"]).where(allowed).select("kind", "name", "cls", "text"), "exact")
-    rest = open_.join(exact.select("kind", "name").distinct(), ["kind", "name"], "left_anti")
-    widened = rest.join(known.select("kind", "cls").distinct(), "kind").where(allowed).select("kind", "name", "cls", "text")
-    tagged = sure.unionByName(exact).withColumn("sure", F.lit(True)).unionByName(widened.withColumn("sure", F.lit(False)))
-    spelled = cut(tagged.withColumn("id", F.xxhash64("kind", "cls", "text")), "spelled")
-
-    nodes = cut(spelled.groupBy("id").agg(F.first(F.concat_ws("|", "kind", "cls")).alias("block"), F.first("text").alias("text"), F.max("sure").alias("sure")), "nodes")
-    weights, links = linked(nodes, link)
+    node = F.xxhash64("kind", "cls", "text").alias("id")
+    known = cut(sure.select("kind", "cls", "text").distinct().select(node, "kind", "cls", "text"), "known")
+    typed = open_.select("kind", "first", "text").distinct()
+    exact = cut(typed.join(known, ["kind", "text"]).where("first = '' or startswith(cls, first)").select("kind", "first", "text", "cls"), "exact")
+    loose = cut(typed.join(exact, ["kind", "first", "text"], "left_anti").select(F.xxhash64("kind", "first", "text").alias("id"), "kind", "first", "text"), "loose")
+    weights = gram_weights(known.select("text").unionByName(loose.select("text")))
+    held = shared(weights)
+    block = F.concat_ws("|", "kind", "cls")
+    posted = cut(postings(known.select("id", F.xxhash64(block).alias("block"), F.xxhash64("kind", F.substring("cls", 1, 1)).alias("lettered"), F.xxhash64("kind", F.lit("")).alias("kinded"), "text"), held, link), "postings")
+    found = allowed_classes(loose, known, posted, held, link)
+    classes = cut(exact.unionByName(found), "allowed")
+    alone = loose.join(classes, ["kind", "first", "text"], "left_anti").withColumn("cls", F.concat(F.lit("?"), "first"))
+    own = classes.unionByName(alone.select("kind", "first", "text", "cls"))
+    spelled = sure.unionByName(open_.join(own, ["kind", "first", "text"]).select("kind", "name", "cls", "text")).withColumn("id", node)
+    extra = own.join(exact, ["kind", "first", "text"], "left_anti").select("kind", "cls", "text").distinct().select(node, "kind", "cls", "text")
+    extra = extra.select("id", block.alias("block"), "text")
+    nodes = cut(known.select("id", block.alias("block"), "text").unionByName(extra), "nodes")
+    every = posted.drop("lettered", "kinded").unionByName(postings(extra.select("id", F.xxhash64("block").alias("block"), "text"), held, link))
+    links = cut(cosine_links(nodes, held, link, every), "links")
     grouped = cut(cluster(nodes, weights, links, merge), "grouped")
-    member = nodes.select("id", "sure").join(grouped, "id", "left").select("id", "sure", F.coalesce("cluster", "id").alias("cluster"))
-    real = member.where("sure").select("cluster").distinct()
-    placed = spelled.join(member.join(real, "cluster", "left_semi").select("id", "cluster"), "id")
-    placed = cut(placed.select("kind", "name", F.concat_ws("|", "kind", "cls", F.col("cluster").cast("string")).alias("group")).distinct(), "placed")
-    alone = rest.join(placed.select("kind", "name").distinct(), ["kind", "name"], "left_anti").select("kind", "name", F.concat_ws("|", "kind", F.concat(F.lit("?"), "first"), "text").alias("group"))
-    return placed.unionByName(alone)
+    placed = spelled.join(grouped, "id", "left").select("kind", "name", F.concat_ws("|", "kind", "cls", F.coalesce("cluster", "id").cast("string")).alias("group"))
+    return placed.distinct()
 
 
-def variant_pairs(groups: DataFrame) -> DataFrame:
+def variant_pairs(groups: DataFrame, crowd: int = 4096) -> DataFrame:
     """``(kind, name_a, name_b)``: all pairs of different spellings of one group, a < b by code
-    points. The pairs are the stated result; a group is paired by a join on group and salt,
-    never in one task."""
-    salts = 8
-    left = groups.select("kind", "group", F.col("name").alias("name_a"), F.pmod(F.xxhash64("name"), F.lit(salts)).cast("int").alias("_s"))
-    right = groups.select("kind", "group", F.col("name").alias("name_b"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_s"))
-    return left.join(right, ["kind", "group", "_s"]).where("name_a < name_b").select("kind", "name_a", "name_b").distinct()
+    points. The pairs are the stated result; a group of more than ``crowd`` spellings is paired
+    by as many tasks as it has that many."""
+    groups = cut(groups, "groups")
+    sizes = cut(groups.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("group", F.ceil(F.col("n") / crowd).cast("int").alias("parts")), "crowds")
+    rows = groups.select("kind", "group", "name")
+    keys, left, right = ["kind", "group"], rows, rows
+    if figure(sizes, "rows"):
+        keys.append("part")
+        spread = rows.join(bounded_broadcast(sizes), "group", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        left = spread.withColumn("part", F.pmod(F.xxhash64("name"), "parts").cast("int"))
+        right = spread.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pairs = left.select(*keys, F.col("name").alias("name_a")).join(right.select(*keys, F.col("name").alias("name_b")), keys)
+    return pairs.where("name_a < name_b").select("kind", "name_a", "name_b").distinct()

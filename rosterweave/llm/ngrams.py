@@ -10,11 +10,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rosterweave.operators.joins import bounded_broadcast
 from rosterweave.storage import cut
 
 BUCKETS = 1 << 18
 GRAMS = (2, 3)
 LINK_GRAMS = (3,)
+SIGNS, TURN = 64, 1 << 63  # the signs of a tail fit a long when they are shifted, which turns the highest bit over
+CROWD = 16_384  # nodes of a gram in one block from which its pairs are spread over tasks
 
 
 def gram_buckets(text: str, sizes: tuple[int, ...] = GRAMS) -> list[int]:
@@ -39,7 +42,8 @@ class Weights:
         return Weights(w)
 
     def vector(self, text: str, sizes: tuple[int, ...] = GRAMS) -> list[tuple[float, int]]:
-        """``(weight, bucket)`` of unit length, heaviest first."""
+        """``(weight, bucket)`` of unit length, heaviest first, equal weights by bucket, which is
+        one order for all texts."""
         raw = [(float(self.w[b]), b) for b in gram_buckets(text, sizes)]
         norm = math.sqrt(sum(w * w for w, _ in raw))
         return sorted(((w / norm, b) for w, b in raw), reverse=True)
@@ -53,14 +57,13 @@ def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def gram_weights(nodes: DataFrame) -> Weights:
-    """Weights from all nodes of a cut table ``(id, block, text)``; counted in the batches first."""
+    """Weights from all texts of ``(text)``, tables cut before; counted in the batches first."""
     rows = nodes.select("text").mapInPandas(_buckets, "b long, n long").groupBy("b").agg(F.sum("n").alias("n")).collect()
     return Weights.counted({r.b: r.n for r in rows}, nodes.count())
 
 
-def cosine(weights: Weights, sizes: tuple[int, ...] = LINK_GRAMS):  # noqa: ANN201
+def cosine(held, sizes: tuple[int, ...] = LINK_GRAMS):  # noqa: ANN001, ANN201
     """Column function of two texts."""
-    held = shared(weights)
 
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -80,7 +83,7 @@ def cosine(weights: Weights, sizes: tuple[int, ...] = LINK_GRAMS):  # noqa: ANN2
             out.append(sum(v * q.get(g, 0.0) for g, v in p.items()))
         return pd.Series(out, dtype="float64")
 
-    return run.asNondeterministic()  # else the test on it moves below the distinct pairs
+    return run.asNondeterministic()  # else it may move below the test
 
 
 def shared(weights: Weights):  # noqa: ANN201
@@ -90,44 +93,104 @@ def shared(weights: Weights):  # noqa: ANN201
     return SparkSession.getActiveSession().sparkContext.broadcast(weights.w)
 
 
-def cosine_links(nodes: DataFrame, weights: Weights, threshold: float, keep: Column | None = None, sizes: tuple[int, ...] = LINK_GRAMS, gate: bool = True) -> DataFrame:
-    """``(a, b, sim)``: all pairs of nodes of one block, a < b, with a cosine of at least
-    ``threshold`` over grams of ``sizes``, and with ``gate`` at most one edit and a third of
-    the longer text between them. ``nodes`` is a cut table ``(id, block, text)`` with ids of type long.
+def postings(nodes: DataFrame, held, threshold: float, sizes: tuple[int, ...] = LINK_GRAMS) -> DataFrame:  # noqa: ANN001
+    """``(id, *keep, gram, x, norm, top, more, signs)`` of ``nodes(id, text, *keep)``: for each gram
+    of a text that may be the first one in common with another at the threshold, its weight,
+    and of the tail of lighter grams behind it the norm, the greatest weight, how many more
+    grams than signs it has, and its signs.
 
-    A pair at the threshold shares a gram of the heaviest part of one vector whose rest has a
-    norm below the threshold; only that part is posted, which leaves the common grams out
-    and loses no pair. A posting is a hash of block and gram with id and text, and a pair is
-    tested on its lengths and edits where it meets, so only near pairs are written.
+    Grams have one order in all vectors, heaviest first. A gram is posted while its tail,
+    itself included, can reach the threshold, so a pair at the threshold has its first common
+    gram posted by both.
     """
-    held = shared(weights)
+    kept = [c for c in nodes.columns if c != "text"]
 
-    def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w = Weights(held.value)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = Weights(held.value)
         for batch in batches:
-            ids, keys, texts = [], [], []
-            for i, block, text in zip(batch["id"], batch["block"], batch["text"], strict=True):
-                start, mass = zlib.crc32(block.encode()) << 18, 0.0
-                for x, bucket in w.vector(text, sizes):
-                    ids.append(i), keys.append(start | bucket), texts.append(text)
-                    mass += x * x
-                    if mass > 1 - threshold**2 + 1e-9:
+            rows, of = [], []
+            for n, text in enumerate(batch["text"]):
+                vector = weights.vector(text, sizes)
+                sign, tail = 0, []  # signs of the tails, from the last gram on
+                for _, bucket in reversed(vector):
+                    tail.append(sign)
+                    sign |= 1 << (bucket * 0x9E3779B1 >> 7) % SIGNS
+                mass, rest = 1.0, len(vector)
+                for at, (x, bucket) in enumerate(vector):
+                    if mass < threshold * threshold - 1e-9:
                         break
-            yield pd.DataFrame({"key": keys, "id": ids, "text": texts})
-
-    posted = nodes.select("id", "block", "text").mapInPandas(post, "key long, id long, text string")
-    left = posted.select("key", F.col("id").alias("a"), F.col("text").alias("ta"))
-    right = posted.select("key", F.col("id").alias("b"), F.col("text").alias("tb"))
-    met = left.join(right, "key").where("a < b")
-    if gate:
-        met = met.where("abs(length(ta) - length(tb)) <= 1 + greatest(length(ta), length(tb)) div 3").where("levenshtein(ta, tb, 1 + greatest(length(ta), length(tb)) div 3) >= 0")
-    if keep is not None:
-        met = met.where(keep)
-    pairs = met.select("a", "b", "ta", "tb").distinct()
-    return pairs.withColumn("sim", cosine(weights, sizes)("ta", "tb")).where(F.col("sim") >= threshold).select("a", "b", "sim")
+                    mass, rest = max(0.0, mass - x * x), rest - 1
+                    signs = tail[rest]
+                    rows.append((bucket, x, math.sqrt(mass), vector[at + 1][0] if rest else 0.0, rest - signs.bit_count(), signs - TURN))
+                    of.append(n)
+            out = pd.DataFrame(rows, columns=["gram", "x", "norm", "top", "more", "signs"])
+            for c in kept:
+                out[c] = batch[c].to_numpy()[of]
+            yield out
+
+    types = dict(nodes.dtypes)
+    return nodes.mapInPandas(run, "gram int, x float, norm float, top float, more short, signs long, " + ", ".join(f"`{c}` {types[c]}" for c in kept))
+
+
+def meet(left: DataFrame, right: DataFrame, threshold: float, crowd: int) -> DataFrame:
+    """``(a, b)``: ids of ``left`` and ``right`` that may reach the threshold, distinct. Both are
+    postings with a column ``block``; ``crowd`` is the greatest number of nodes of a block.
+
+    A pair is caught where its first common gram meets. There the cosine is at most the
+    product of the two weights and what the tails can add: at most the product of their
+    norms, and the number of grams they may share, as their signs tell, times their greatest
+    weights. So no pair is lost. A gram that many nodes of a block have is spread over tasks.
+    """
+    keys = ["block", "gram"]
+    if crowd > CROWD:
+        hot = right.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > CROWD).select(*keys, F.ceil(F.col("n") / CROWD).cast("int").alias("parts"))
+        hot = bounded_broadcast(cut(hot, "hot"))
+        parts = lambda df: df.join(hot, keys, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        left = parts(left).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        right = parts(right).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+        keys = [*keys, "part"]
+    measures = ("x", "norm", "top", "more", "signs")
+    side = lambda df, end: df.select(*keys, F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in measures])
+    signs = lambda end: F.col(f"signs_{end}").bitwiseXOR(F.lit(-TURN))
+    common = F.bit_count(signs("a").bitwiseAND(signs("b")))
+    most = F.col("x_a") * F.col("x_b") + F.least(F.col("norm_a") * F.col("norm_b"), (common + F.least("more_a", "more_b")) * F.col("top_a") * F.col("top_b"))
+    return side(left, "a").join(side(right, "b"), keys).where("a <> b").where(most >= threshold - 1e-5).select("a", "b").distinct()
+
+
+def verified(met: DataFrame, left: DataFrame, right: DataFrame, held, threshold: float, test: Column | None = None, whole: DataFrame | None = None, sizes: tuple[int, ...] = LINK_GRAMS) -> DataFrame:  # noqa: ANN001
+    """``met(a, b)`` with the columns of ``left(a, ta, ...)`` and ``right(b, tb, ...)`` and the cosine
+    ``sim`` of their texts, where it reaches the threshold and ``test`` holds, which is looked
+    at first. All are cut tables."""
+    both = met.join(bounded_broadcast(left, whole=whole), "a").join(bounded_broadcast(right, whole=whole), "b")
+    if test is not None:
+        both = both.where(test)
+    return both.withColumn("sim", cosine(held, sizes)("ta", "tb")).where(F.col("sim") >= threshold)
+
+
+def crowd_of(nodes: DataFrame, *block: str) -> int:
+    return nodes.groupBy(*block).count().agg(F.max("count")).first()[0] or 0
+
+
+NEAR = "levenshtein(ta, tb, 1 + greatest(length(ta), length(tb)) div 3) >= 0"
+
+
+def cosine_links(nodes: DataFrame, held, threshold: float, posted: DataFrame | None = None, near: bool = True, sizes: tuple[int, ...] = LINK_GRAMS) -> DataFrame:  # noqa: ANN001
+    """``(a, b, sim)``: all pairs of nodes of one block, a < b, with a cosine over grams of
+    ``sizes`` of at least ``threshold`` and, if ``near``, at most one edit and a third of the longer text between
+    them: texts with syllables in common that are no spellings of one name are further apart.
+
+    ``nodes`` is a cut table ``(id, block, text)`` with ids of type long, ``posted`` its postings,
+    if they are there already, with ``xxhash64(block)`` as block.
+    """
+    if posted is None:
+        posted = postings(nodes.select("id", F.xxhash64("block").alias("block"), "text"), held, threshold, sizes)
+    met = cut(meet(posted, posted, threshold, crowd_of(nodes, "block")).where("a < b"), "met")
+    of = lambda end: nodes.select(F.col("id").alias(end), F.col("block").alias(f"block_{end}"), F.col("text").alias(f"t{end}"))
+    test = F.expr(f"block_a = block_b and {NEAR}") if near else F.expr("block_a = block_b")
+    return verified(met, of("a"), of("b"), held, threshold, test, nodes, sizes).select("a", "b", "sim")
 
 
 def linked(nodes: DataFrame, threshold: float) -> tuple[Weights, DataFrame]:
     """The weights of the nodes and their links as a cut table."""
     weights = gram_weights(nodes)
-    return weights, cut(cosine_links(nodes, weights, threshold), "links")
+    return weights, cut(cosine_links(nodes, shared(weights), threshold), "links")
