@@ -2,9 +2,9 @@
 
 A text is cut into runs: ordinary characters, blanks, and single characters that may
 delimit, quote or bracket. Writing one mark for each run gives the delimiter skeleton of
-the text. Texts are many, skeletons are few, so the grammar is resolved once for each
-distinct skeleton into a list of run ranges, and the ranges are applied to the runs of
-every text by position inside the JVM.
+the text. The grammar is resolved once for each distinct skeleton into a list of run ranges,
+and the ranges are applied to the runs of every text by position inside the JVM. Skeletons
+of long lists in mixed notation are many, so the rules are broadcast only at a measured size.
 """
 
 from __future__ import annotations
@@ -155,7 +155,8 @@ def split_values(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     table gives an empty result. Only the two named columns are read.
     """
     rows = df.select(F.col(id_col).alias("_id"), F.regexp_extract_all(F.col(text_col), F.lit(f"({RUN})"), F.lit(1)).alias("_runs")).where(F.size("_runs") > 0)
-    rows = rows.withColumn("skeleton", F.array_join(F.transform("_runs", _mark), ""))
+    # written once, as both the rules and the pieces are read from it
+    rows = cut(rows.withColumn("skeleton", F.array_join(F.transform("_runs", _mark), "")), "runs")
     rules = cut(rows.select("skeleton").distinct().mapInPandas(_resolve, f"skeleton string, rule {VALUE_RULE}"), "rules")
     joined = lookup_join(rows, rules, ["skeleton"], "inner")
     pieces = joined.select("_id", "_runs", F.posexplode("rule").alias("_pos", "_r"))
