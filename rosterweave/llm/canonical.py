@@ -186,6 +186,6 @@ def map_records(records: DataFrame, entries: DataFrame, **options) -> DataFrame:
     neither null nor letter for letter a label of its kind. Repeated record ids give a row
     each; take them out before."""
     labels = entries.select("kind", F.col("label").alias("value")).distinct()
-    cases = cut(records.select("kind", "record_id", "value").where("value is not null").join(F.broadcast(labels), ["kind", "value"], "left_anti"), "cases")
+    cases = cut(records.select("kind", "record_id", "value").where("value is not null").join(bounded_broadcast(labels), ["kind", "value"], "left_anti"), "cases")
     mapped = cut(map_values(cases.select("kind", "value"), entries, **options).select("kind", "value", "entry_id"), "mapped")
     return lookup_join(cases, mapped, ["kind", "value"], "inner").select("kind", "record_id", "entry_id")

@@ -24,7 +24,7 @@ def _odds_rank(seed: int):  # noqa: ANN202
     return F.log(u / (1 - u)) - F.log(p / (1 - p))
 
 
-def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, size_power: float = 0.5, bins: int = 512, rounds: int = 8) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, seed: int = 7, size_power: float = 0.5, bins: int = 512, rounds: int = 64) -> tuple[DataFrame, DataFrame]:
     """The mix ``(doc_id, source, n_tokens, copies)`` and its report.
 
     ``docs`` is ``(doc_id, source, n_tokens)`` with distinct ids, ``targets`` the short list
@@ -51,7 +51,7 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, se
 
     # inclusion probability factor * size ** power, one for those that reach it
     factor, limit, sure = {}, {s: math.inf for s in have}, {s: 0.0 for s in have}
-    for _ in range(20):
+    for _ in range(200):
         caps = _literal(spark, {s: (limit[s],) for s in have}, ("_limit",))
         sums = {r.source: r for r in used.join(F.broadcast(caps), "source").groupBy("source").agg(F.sum(F.when(F.col("_n") < F.col("_limit"), F.pow(F.col("_n").cast("double"), 1 + size_power))).alias("m"), F.sum(F.when(F.col("_n") >= F.col("_limit"), F.col("_n"))).alias("sure")).collect()} if have else {}
         settled = True
@@ -63,6 +63,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, se
                 limit[s], settled = float(math.ceil(at)), False
         if settled:
             break
+    else:
+        raise RuntimeError("the inclusion probabilities did not settle")
     p = F.when(F.col("_n") >= F.col("_limit"), F.lit(1.0)).otherwise(F.col("_factor") * F.pow(F.col("_n").cast("double"), size_power))
     params = _literal(spark, {s: (limit[s], factor[s]) for s in have}, ("_limit", "_factor"))
     keyed = used.join(F.broadcast(params), "source").withColumn("_p", F.least(p, F.lit(1.0)))
@@ -93,9 +95,8 @@ def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, se
                         span[s], ends[s] = [r.first, math.nextafter(r.last, math.inf), before], math.nan
                     break
                 before += r.t
-    for s in have:
-        if math.isnan(ends[s]):
-            ends[s] = span[s][0]
+    if unsettled := [s for s in have if math.isnan(ends[s])]:
+        raise RuntimeError(f"the cut of the order was not found for {unsettled}")
     final = _literal(spark, {s: (float(plan[s][0]), ends[s]) for s in have}, ("_copies", "_end"))
     mixed = ranked.join(F.broadcast(final), "source").withColumn("copies", (F.col("_copies") + F.when(F.col("_q") < F.col("_end"), 1).otherwise(0)).cast("int"))
     mixed = mixed.where("copies > 0").select(F.col("_id").alias("doc_id"), "source", F.col("_n").alias("n_tokens"), "copies")

@@ -17,9 +17,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rosterweave.operators.joins import lookup_join
-from rosterweave.storage import cut
+from rosterweave.operators.joins import bounded_broadcast
+from rosterweave.storage import cut, figure
 
+STRETCH = 6  # ranks meet slots in stretches of 2 ** STRETCH
 Pattern = tuple[tuple[int, ...], int]
 
 
@@ -150,7 +151,7 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
     rest = rest.withColumn("size", F.when(F.col("_size") == F.col("capacity"), F.col("capacity")).otherwise(F.col("size")))
     over = wide.where("_size > capacity").select("_id", "spec_id", "capacity", whole.cast("int").alias("k"))
 
-    total = wide.count()
+    total = figure(wide, "rows")
     buckets = max(1, total // bucket_items)
     rest = rest.withColumn("b", F.pmod(F.xxhash64("_id"), F.lit(buckets)))
     over = over.withColumn("b", F.pmod(F.xxhash64("_id"), F.lit(buckets)))
@@ -168,14 +169,14 @@ def pack(items: DataFrame, specs: DataFrame, id_col: str = "doc_id", size_col: s
     histogram = counted.groupBy("spec_id", "capacity", "size").agg(F.sum("count").alias("n")).join(F.broadcast(filled), "spec_id", "left").withColumn("full", F.coalesce("full", F.lit(0)).cast("long"))
     kind = dict(specs.dtypes)["spec_id"]
     slots = histogram.groupBy("spec_id").applyInPandas(_slots, f"spec_id {kind}, size int, first long, n long, base long")
-    slots = cut(slots.groupBy("spec_id", "size").agg(F.array_sort(F.collect_list(F.struct("first", "n", "base"))).alias("slots")), "slots")
+    # an item lies in the slot whose ranks hold its own; both meet in stretches of ranks
+    stretches = F.explode(F.sequence(F.shiftright("first", STRETCH), F.shiftright(F.col("first") + F.col("n") - 1, STRETCH)))
+    slots = cut(slots.withColumn("stretch", stretches), "slots")
     offset = counted.select("spec_id", "size", "b", (F.sum("count").over(Window.partitionBy("spec_id", "size").orderBy("b")) - F.col("count")).alias("start"))
     ranked = rest.where("size > 0").withColumn("_n", F.row_number().over(Window.partitionBy("spec_id", "size", "b").orderBy("_id")) - 1)
     ranked = ranked.join(offset, ["spec_id", "size", "b"]).withColumn("rank", F.col("start") + F.col("_n"))
-    placed = lookup_join(ranked, slots, ["spec_id", "size"], "inner")
-    slot = F.get(F.filter("slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["first"] + s["n"])), F.lit(0))
-    placed = placed.withColumn("_s", slot)
-    placed = placed.select("spec_id", F.col("_id").alias(id_col), "piece", (F.col("piece").cast("long") * F.col("capacity")).alias("first_token"), F.col("size").cast("long").alias("n_tokens"), (F.col("_s.base") + F.col("rank") - F.col("_s.first")).cast("long").alias("container_id"))
+    placed = ranked.withColumn("stretch", F.shiftright("rank", STRETCH)).join(bounded_broadcast(slots), ["spec_id", "size", "stretch"]).where("first <= rank and rank < first + n")
+    placed = placed.select("spec_id", F.col("_id").alias(id_col), "piece", (F.col("piece").cast("long") * F.col("capacity")).alias("first_token"), F.col("size").cast("long").alias("n_tokens"), (F.col("base") + F.col("rank") - F.col("first")).cast("long").alias("container_id"))
     empty = wide.where("_size = 0").select("spec_id", F.col("_id").alias(id_col), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("first_token"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("container_id"))
     return placed.unionByName(pieces).unionByName(empty)
 
