@@ -19,7 +19,7 @@ from rosterweave.llm.linkage import cluster
 from rosterweave.llm.canonical import near_texts
 from rosterweave.llm.ngrams import cosine_links, crowd_of, gram_weights, meet, postings, shared, verified
 from rosterweave.operators.joins import BROADCAST_BYTES, bounded_broadcast, measured_bytes
-from rosterweave.storage import cut, figure
+from rosterweave.storage import cut, discard, figure
 
 LEXICONS = {"company": parts.LINES, "institution": parts.SCHOOLS}
 
@@ -131,7 +131,9 @@ def spelling_groups(names: DataFrame, link: float = 0.36, merge: float = 0.42) -
     nodes = cut(known.select("id", block.alias("block"), "text").unionByName(extra), "nodes")
     every = posted.drop("lettered", "kinded").unionByName(postings(extra.select("id", F.xxhash64("block").alias("block"), "text"), held, link))
     links = cut(cosine_links(nodes, held, link, every), "links")
+    discard(posted)
     grouped = cut(cluster(nodes, weights, links, merge), "grouped")
+    discard(links)
     placed = spelled.join(grouped, "id", "left").select("kind", "name", F.concat_ws("|", "kind", "cls", F.coalesce("cluster", "id").cast("string")).alias("group"))
     return placed.distinct()
 
