@@ -50,7 +50,11 @@ def score(merged: DataFrame) -> DataFrame:
 
 
 def provenance_confidence(scored: DataFrame) -> DataFrame:
-    """``(cluster_id, field, value, source, method, confidence)`` of every provenance entry."""
-    rows = scored.select("cluster_id", F.map_from_entries(F.transform(F.array_distinct(F.transform("skills", lambda s: F.struct(s["name"], s["confidence"]))), lambda s: s)).alias("known"), F.explode("provenance").alias("p"))
-    own = F.coalesce(F.try_element_at("known", F.col("p.value")), skill_confidence(F.array("p.source")))
-    return rows.select("cluster_id", "p.*", F.when(F.col("p.field") == "skills", own).when(F.col("p.source") == "none", 0.0).otherwise(source_weight(F.col("p.source"))).alias("confidence"))
+    """``(cluster_id, field, value, source, method, confidence)`` of every provenance entry.
+
+    Entries meet the skills of their record as rows: carried in each row instead, the skills of
+    a large record would be written once for each of its entries."""
+    rows = scored.select("cluster_id", F.explode("provenance").alias("p")).select("cluster_id", "p.*")
+    known = scored.select("cluster_id", F.explode("skills").alias("s")).groupBy("cluster_id", F.lit("skills").alias("field"), F.col("s.name").alias("value")).agg(F.max("s.confidence").alias("known"))
+    confidence = F.when(F.col("field") == "skills", F.coalesce("known", skill_confidence(F.array("source")))).when(F.col("source") == "none", 0.0).otherwise(source_weight(F.col("source")))
+    return rows.join(known, ["cluster_id", "field", "value"], "left").select("cluster_id", "field", "value", "source", "method", confidence.alias("confidence"))

@@ -228,3 +228,17 @@ def test_counts_are_observed(spark):
     df, seen = observed(spark.range(10), "run", even=F.when(F.col("id") % 2 == 0, 1))
     df.write.format("noop").mode("overwrite").save()
     assert seen.get == {"rows": 10, "even": 5}
+
+
+def test_entries_of_a_large_record_do_not_carry_its_skills(spark):
+    n = 1500
+    rows = spark.range(n).selectExpr("named_struct('name', concat('s', id), 'confidence', 0.5 + id % 2 / 4, 'sources', array('a.csv')) s", "named_struct('field', 'skills', 'value', concat('s', id), 'source', 'a.csv', 'method', 'csv_direct') p")
+    one = rows.groupBy().agg(F.collect_list("s").alias("skills"), F.collect_list("p").alias("provenance"))
+    more = F.expr("array(named_struct('field', 'skills', 'value', 'odd', 'source', 'a.csv', 'method', 'm'), named_struct('field', 'emails', 'value', 's1', 'source', 'b.pdf', 'method', 'm'), named_struct('field', 'skills', 'value', cast(null as string), 'source', 'none', 'method', 'm'), named_struct('field', 'headline', 'value', cast(null as string), 'source', 'none', 'method', 'm'))")
+    found = S.provenance_confidence(one.select(F.lit(7).alias("cluster_id"), "skills", F.concat("provenance", more).alias("provenance")))
+    got = {(r.field, r.value): r.confidence for r in found.collect()}
+    assert found.columns == ["cluster_id", "field", "value", "source", "method", "confidence"]
+    assert len(got) == n + 4 and got["skills", "s1"] == 0.75 and got["skills", "s2"] == 0.5
+    assert (got["skills", "odd"], got["emails", "s1"], got["skills", None], got["headline", None]) == (0.7, 0.85, 0.56, 0.0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all("map" not in line.lower() for line in plan.splitlines() if "Generate" in line or "Project" in line)
