@@ -5,13 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterweave.functions.text import indel_ratio, let, may_reach, pytrim, sorted_tokens
-from rosterweave.operators.joins import bounded_broadcast
+from rosterweave.functions.text import pytrim, sorted_tokens
+from rosterweave.operators.near import near_names
 from rosterweave.storage import cut, discard, figure
 
 THRESHOLD = 85.0
-# Fixed value: letters from rare to frequent, which orders two-grams; others are the rarest.
-LETTERS = "xqzjfwvbpkgyucmdhtslnoraeei $^"
 
 
 def keys(validated: DataFrame) -> DataFrame:
@@ -28,51 +26,10 @@ def email_edges(keyed: DataFrame) -> DataFrame:
     return held.join(first, "email").where("record_ix > src").select("src", F.col("record_ix").alias("dst"), F.concat(F.lit("email_exact:"), "email").alias("reason"))
 
 
-def _loss(threshold: float) -> float:
-    """The part of its length that a name may lose of its two-grams to one that reaches
-    ``threshold``. A deletion costs two grams at most, an insertion one, and a common
-    subsequence of ``threshold`` of the mean length bounds both; the shortest partner is the
-    worst. Below two thirds names may be near without any two-gram in common, which is refused."""
-    if threshold < 200 / 3:
-        raise ValueError("names are met from a ratio of two thirds on")
-    r = threshold / 100
-    return (2 - 1.5 * r) + (1 - 1.5 * r) * r / (2 - r)
-
-
-def _postings(names: DataFrame, threshold: float) -> DataFrame:
-    """``(phone, gram, name, ix)``: the rarer two-grams of each name, of which two names that
-    reach the threshold have one in common. Grams are a bag (the second ``an`` is another
-    gram than the first), taken in one order everywhere, and a name posts one more than it
-    may lose; so the first gram two names have in common is posted by both."""
-    c = F.concat(F.lit("^"), "name", F.lit("$"))
-    grams = F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))
-    rank = lambda g: F.instr(F.lit(LETTERS), F.substring(g, 1, 1)) + F.instr(F.lit(LETTERS), F.substring(g, 2, 1))
-    numbered = lambda gs: F.transform(gs, lambda g, i: F.struct(rank(g).alias("rank"), g.alias("g"), F.size(F.filter(F.slice(gs, F.lit(1), i), lambda x: x == g)).alias("no")))
-    kept = F.slice(F.array_sort(let(grams, numbered)), 1, (F.floor(F.length("name") * F.lit(_loss(threshold)) + 1e-9) + 1).cast("int"))
-    return names.select("phone", "name", "ix", F.explode(kept).alias("x")).select("phone", F.concat_ws(" ", "x.g", "x.no").alias("gram"), "name", "ix")
-
-
-def near_names(names: DataFrame, threshold: float = THRESHOLD, hot: int = 512) -> DataFrame:
-    """``(na, nb, ia, ib, score)``: pairs of different names of one phone whose ratio is at least
-    ``threshold``, each once. ``names`` is a cut table ``(phone, name, ix)`` without repeats.
-
-    Names meet on a rare two-gram, which loses no pair. A gram of more than ``hot`` names of
-    one phone is spread over as many tasks as it has that many names.
-    """
-    several = names.groupBy("phone").agg(F.count("*").alias("n")).where("n > 1").select("phone")
-    posted = cut(_postings(names.join(several, "phone", "left_semi"), threshold), "grams")
-    crowd = posted.groupBy("phone", "gram").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("phone", "gram", F.ceil(F.col("n") / hot).cast("int").alias("salts"))
-    salted = posted.join(bounded_broadcast(cut(crowd, "crowd")), ["phone", "gram"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    a = salted.select("phone", "gram", F.pmod(F.xxhash64("name"), "salts").cast("int").alias("salt"), F.col("name").alias("na"), F.col("ix").alias("ia"))
-    b = salted.select("phone", "gram", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("name").alias("nb"), F.col("ix").alias("ib"))
-    met = a.join(b, ["phone", "gram", "salt"]).where("na < nb").where(may_reach(F.col("na"), F.col("nb"), threshold)).select("na", "nb", "ia", "ib").distinct()
-    return met.withColumn("score", indel_ratio(F.col("na"), F.col("nb"))).where(F.col("score") >= threshold)
-
-
 def phone_name_edges(keyed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``(src, dst, score)``: records that share a phone and have names of a ratio from
     ``threshold`` on. Records of one phone and one name are a star, and of the distinct names
-    of a phone those are compared that have a rare two-gram in common."""
+    of a phone those are compared that have enough letters in common."""
     held = keyed.where("name <> ''").select("record_ix", F.explode("phones").alias("phone"), sorted_tokens(F.col("name")).alias("name")).where("phone <> ''")
     names = cut(held.groupBy("phone", "name").agg(F.min("record_ix").alias("ix"), F.max("record_ix").alias("last")), "names")
     same = held.join(names.where("ix < last").select("phone", "name", "ix"), ["phone", "name"]).where("record_ix > ix").select(F.col("ix").alias("src"), F.col("record_ix").alias("dst"), F.lit(100.0).alias("score"))

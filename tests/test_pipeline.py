@@ -242,3 +242,24 @@ def test_entries_of_a_large_record_do_not_carry_its_skills(spark):
     assert (got["skills", "odd"], got["emails", "s1"], got["skills", None], got["headline", None]) == (0.7, 0.85, 0.56, 0.0)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert all("map" not in line.lower() for line in plan.splitlines() if "Generate" in line or "Project" in line)
+
+
+def test_names_of_a_crowded_phone_are_compared_in_blocks(spark, monkeypatch):
+    """No table of grams is written, and blocks lose no pair, whatever the alphabet."""
+    import random
+
+    from rosterweave.functions.text import _lcs
+    from rosterweave.storage import cut, figure
+
+    near, written = __import__("rosterweave.operators.near", fromlist=["near"]), []
+    monkeypatch.setattr(near, "BLOCK", 40)
+    monkeypatch.setattr(near, "cut", lambda df, *a, **k: written.append(cut(df, *a, **k)) or written[-1])
+    rng = random.Random(4)
+    names = {"".join(rng.choice(["ko", "sha", "été", "mi", " ", "安", "ra", "s"]) for _ in range(8)).strip() for _ in range(150)} | {"a" * n for n in (1, 2, 40, 46, 300, 330)}
+    names |= {n[:4] + n[5:] for n in sorted(names)[:60]} | {n[:3] + "x" + n[4:] for n in sorted(names)[:60]}
+    rows = [(phone, n, i) for phone in ("+1", "+3") for i, n in enumerate(sorted(names - {""}))]
+    got = [(r.na, r.nb, r.ia, r.ib, r.score) for r in near.near_names(cut(spark.createDataFrame(rows, "phone string, name string, ix long")), 85.0, 20).collect()]
+    texts = rows[: len(rows) // 2]
+    want = {(a, b, i, j, 200.0 * _lcs(a, b) / (len(a) + len(b))) for _, a, i in texts for _, b, j in texts if a < b and 200 * _lcs(a, b) / (len(a) + len(b)) >= 85}
+    assert len(want) > 60 and len(got) == len(set(got)) and set(got) == want
+    assert sum(figure(t, "rows") for t in written) == 2
