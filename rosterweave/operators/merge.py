@@ -50,8 +50,8 @@ def _aggregates() -> list[Column]:
 
 
 def _list_values(clustered: DataFrame) -> DataFrame:
-    """``(cluster_id, emails, phones, skills, merged_sources)``: the different values of each list
-    in order, as structs of value, source and kind of source, skills also with all sources.
+    """``(cluster_id, emails, phones, skills, merged_sources)`` of each cluster of several records:
+    the different values of each list in order, as structs of value, source and kind of source, skills also with all sources.
 
     Equal values are the same whatever their case, phones also if they end in the same ten
     digits, where Indian numbers come first.
@@ -59,7 +59,8 @@ def _list_values(clustered: DataFrame) -> DataFrame:
     item = lambda name, v, pos: F.struct(F.lit(name).alias("name"), v.alias("v"), pos.alias("pos"))
     items_of = lambda c: F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda v, i: item(c, v, i))
     items = F.concat(*[items_of(c) for c in LISTS], F.array(item("merged_sources", F.col("source"), F.lit(0))))
-    rows = clustered.select("cluster_id", "record_ix", F.col("source").alias("s"), F.col("source_type").alias("k"), F.explode(items).alias("x")).select("cluster_id", "record_ix", "s", "k", "x.*")
+    several = clustered.groupBy("cluster_id").agg(F.count("*").alias("n")).where("n > 1").select("cluster_id")
+    rows = clustered.select("cluster_id", "record_ix", "source", "source_type", *LISTS).join(several, "cluster_id", "left_semi").select("cluster_id", "record_ix", F.col("source").alias("s"), F.col("source_type").alias("k"), F.explode(items).alias("x")).select("cluster_id", "record_ix", "s", "k", "x.*")
     phone = F.col("name") == "phones"
     key = F.when(phone, F.substring("v", -10, 10)).when(F.col("name") == "merged_sources", F.col("v")).otherwise(F.lower("v"))
     rows = rows.select("cluster_id", "name", key.alias("key"), "s", F.struct((phone & ~F.coalesce(F.col("v").startswith("+91"), F.lit(False))).alias("abroad"), "record_ix", "pos").alias("at"), F.struct("v", "s", "k").alias("x"))
@@ -102,11 +103,11 @@ def _link_provenance(name: str) -> Column:
 def merge(clustered: DataFrame) -> DataFrame:
     """One merged record for each ``cluster_id``.
 
-    A cluster of one record keeps its lists as they are; one of several unites them, each
+    A cluster of one record keeps its lists as they are, with no row for each value; one of several unites them, each
     value once whatever its case, and collapses phones. ``skill_sources`` has for each kept
     skill the sources that name it. An empty table gives an empty result.
     """
-    g = clustered.groupBy("cluster_id").agg(*_aggregates()).join(_list_values(clustered), "cluster_id")
+    g = clustered.groupBy("cluster_id").agg(*_aggregates()).join(_list_values(clustered), "cluster_id", "left")
     several = F.col("n") > 1
     for name in LISTS:
         own = F.transform(f"_own.{name}", lambda v: F.struct(v.alias("v"), F.col("_own.source").alias("s"), F.col("_own.source_type").alias("k")))
@@ -121,5 +122,5 @@ def merge(clustered: DataFrame) -> DataFrame:
         *[F.transform(f"kept_{c}", lambda x: x["v"]).alias(c) for c in LISTS], "skill_sources",
         *[F.coalesce(F.col(f"best_{c}")["v"], F.array().cast(t)).alias(c) for c, t in BLOCKS.items()],
         F.struct(*[F.col(f"first_{c}")["v"].alias(c) for c in LINKS], F.array().cast("array<string>").alias("other")).alias("links"),
-        F.col("merged_sources.v").alias("merged_sources"), F.concat(F.when(several, many).otherwise(one), tail).alias("provenance"),
+        F.when(several, F.col("merged_sources.v")).otherwise(F.array("_own.source")).alias("merged_sources"), F.concat(F.when(several, many).otherwise(one), tail).alias("provenance"),
     )

@@ -263,3 +263,15 @@ def test_names_of_a_crowded_phone_are_compared_in_blocks(spark, monkeypatch):
     want = {(a, b, i, j, 200.0 * _lcs(a, b) / (len(a) + len(b))) for _, a, i in texts for _, b, j in texts if a < b and 200 * _lcs(a, b) / (len(a) + len(b)) >= 85}
     assert len(want) > 60 and len(got) == len(set(got)) and set(got) == want
     assert sum(figure(t, "rows") for t in written) == 2
+
+
+def test_only_clusters_of_several_records_have_rows_for_their_values(raw):
+    people = [dict(record_ix=i, source=s, full_name=f"N {i}", emails=[f"a{i}@x.org"], skills_list=["SQL", "Go"]) for i, s in ((1, "a.csv"), (2, "b.csv"), (3, "a.csv"), (4, None))]
+    clustered = V.validate(raw(*people)).withColumn("cluster_id", F.when(F.col("record_ix") == 2, 1).otherwise(F.col("record_ix")).cast("long"))
+    assert [r.cluster_id for r in M._list_values(clustered).collect()] == [1]
+    got = {r.cluster_id: r for r in M.merge(clustered).collect()}
+    assert {k: (r.n, r.emails, r.skills, r.skill_sources, r.merged_sources) for k, r in got.items()} == {
+        1: (2, ["a1@x.org", "a2@x.org"], ["sql", "go"], [["a.csv", "b.csv"]] * 2, ["a.csv", "b.csv"]),
+        3: (1, ["a3@x.org"], ["sql", "go"], [["a.csv"]] * 2, ["a.csv"]),
+        4: (1, ["a4@x.org"], ["sql", "go"], [[None]] * 2, [None]),
+    }
