@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rosterweave.functions.text import let
+
 # Fixed values of the confidence model.
 SOURCE_WEIGHT = {".csv": 1.0, "document": 0.85, "other": 0.80}
 SKILL_BASE = (0.70, 0.90, 0.95)
@@ -20,13 +22,17 @@ def _mean(values: Column) -> Column:
 
 
 def skill_confidence(sources: Column) -> Column:
-    """Base score by the number of different sources, times their mean weight."""
-    unique = F.array_distinct(sources)
-    base = F.when(F.size(unique) >= 3, SKILL_BASE[2]).when(F.size(unique) == 2, SKILL_BASE[1]).otherwise(SKILL_BASE[0])
-    count = lambda w: F.size(F.filter(unique, lambda s: source_weight(s) == w))
-    total = sum((count(w) * w for w in SOURCE_WEIGHT.values()), F.lit(0.0))
-    # ties go up also where the binary product lies a hair below
-    return F.round(F.when(F.size(unique) > 0, base * (total / F.size(unique)) + 1e-9).otherwise(0.0), 4)
+    """Base score by the number of different sources, times their mean weight. The sources are
+    read once, into their weights."""
+
+    def rated(weights: Column) -> Column:
+        n = F.size(weights)
+        base = F.when(n >= 3, SKILL_BASE[2]).when(n == 2, SKILL_BASE[1]).otherwise(SKILL_BASE[0])
+        total = sum((F.size(F.filter(weights, lambda x: x == w)) * w for w in SOURCE_WEIGHT.values()), F.lit(0.0))
+        # ties go up also where the binary product lies a hair below
+        return F.round(F.when(n > 0, base * (total / n) + 1e-9).otherwise(0.0), 4)
+
+    return let(F.transform(F.array_distinct(sources), lambda s: source_weight(s)), rated)
 
 
 def _has(c: Column) -> Column:

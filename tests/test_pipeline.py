@@ -275,3 +275,10 @@ def test_only_clusters_of_several_records_have_rows_for_their_values(raw):
         3: (1, ["a3@x.org"], ["sql", "go"], [["a.csv"]] * 2, ["a.csv"]),
         4: (1, ["a4@x.org"], ["sql", "go"], [[None]] * 2, [None]),
     }
+
+
+def test_sources_of_a_skill_are_read_once(spark):
+    rows = spark.createDataFrame([(1, ["a.csv", "b.pdf", "a.csv"]), (2, ["a.csv", "B.CSV", "c.docx", "d"]), (3, []), (4, None), (5, [None])], "i int, s array<string>")
+    found = rows.select("i", S.skill_confidence(F.col("s")).alias("c"))
+    assert {r.i: r.c for r in found.collect()} == {1: 0.8325, 2: 0.8669, 3: 0.0, 4: 0.0, 5: 0.56}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_distinct") == 1
